@@ -25,12 +25,15 @@ def _bucket(ts: Column, width_us: int) -> Column:
 
 def asof_join(labels: DataFrame, snapshots: DataFrame, on: list[str], label_ts: str = "event_ts",
               snapshot_ts: str = "ts", how: str = "left", keep_ts: str | None = None,
-              bucket: str = "day", hot_rows: int = 1_000_000) -> DataFrame:
+              bucket: str = "day", hot_rows: int = 1_000_000,
+              probe: DataFrame | None = None) -> DataFrame:
     """Attach to each label the newest snapshot of its key with ``snapshot_ts <= label_ts``.
 
     A label with no such snapshot keeps null features (``how="left"``) or is removed
     (``how="inner"``). Duplicate labels are kept. ``keep_ts`` names a column that reports
-    the matched snapshot time.
+    the matched snapshot time. ``probe`` is a cheaper frame with the same (keys, time) rows,
+    read to learn which buckets hold labels; chains of lookups pass the original labels so
+    the plan grows linearly.
     """
     width = _BUCKET_US[bucket]
     feats = [c for c in snapshots.columns if c not in on and c != snapshot_ts]
@@ -41,7 +44,9 @@ def asof_join(labels: DataFrame, snapshots: DataFrame, on: list[str], label_ts:
     key = on + ["_b"]
 
     lab = labels.withColumn("_b", _bucket(F.col(label_ts), width))
-    need = (lab.where(F.col("_b").isNotNull()).groupBy(*key)
+    need = ((labels if probe is None else probe)
+            .select(*on, _bucket(F.col(label_ts), width).alias("_b"))
+            .where(F.col("_b").isNotNull()).groupBy(*key)
             .agg(F.count(F.lit(1)).alias("_n")))
     hot = (need.where(F.col("_n") > hot_rows)
            .select(*key, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_splits")))

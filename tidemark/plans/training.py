@@ -67,7 +67,7 @@ def training_set(labels: DataFrame, lookups: list[Lookup], functions: list[Featu
         cols = lk.columns or [c for c in lk.table.columns if c not in lk.keys and c != lk.ts]
         t = lk.table.select(*lk.keys, *([lk.ts] if lk.ts else []), *cols)
         if lk.ts:
-            out = asof_join(out, t, lk.keys, label_ts=label_ts, snapshot_ts=lk.ts)
+            out = asof_join(out, t, lk.keys, label_ts=label_ts, snapshot_ts=lk.ts, probe=labels)
         else:
             out = lookup_latest(out, t, lk.keys)
     return apply_functions(out, functions).drop(*exclude)

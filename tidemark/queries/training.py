@@ -6,7 +6,8 @@ from ..constants import VIEWER_RAIL_FEATURES
 from ..functions import request as R
 from ..functions.keys import in_sample, in_sample_md5, stable_unit
 from ..operators.asof import asof_join, latest_per_key
-from ..plans import features as P, ranking as K, training as T
+from ..plans import features as P, training as T
+from ..session import materialize
 from ..sources import inputs as I
 from .base_sql import GEN, GENRES, r, unit, with_
 from .registry import query
@@ -31,8 +32,8 @@ FIT = """CASE WHEN rail_type_idx BETWEEN 0 AND 6 THEN (CASE device WHEN 'tv' THE
   ELSE [0.7,0.7,0.65,0.7,0.6,0.65,0.6] END)[rail_type_idx+1]::DOUBLE ELSE 0.5 END"""
 
 
-def _round(df, cols, n=6):
-    return df.withColumns({c: F.round(c, n) for c in cols})
+def _round(df, cols, n=9):
+    return df.withColumns({c: F.round(c, 11 if c == "hour_affinity" else n) for c in cols})
 
 
 def _title_frames(spark, d):
@@ -57,9 +58,9 @@ def label_weights(spark, d):
 
 @query(with_("ev", "ti", "vf", "rbts", more=TLAB) + f"""SELECT event_id, viewer_id, title_id, label_ts, played, minutes_watched_7d, plays_7d,
   completion_rate_30d, typical_watch_hour, hour_concentration, minutes_watched_24h, last_primary_genre,
-  {r(HOUR, 6)} AS hour_affinity, {r(DECAY, 6)} AS session_decay
-  FROM (SELECT * FROM tlab l ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts) a
-  ASOF LEFT JOIN rbts b ON a.viewer_id=b.viewer_id AND a.label_ts>=b.ts""")
+  {r(HOUR, 11)} AS hour_affinity, {r(DECAY, 9)} AS session_decay
+  FROM (SELECT a.*, b.* EXCLUDE (viewer_id, ts) FROM (SELECT l.*, s.* EXCLUDE (viewer_id, ts) FROM tlab l ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts) a
+  ASOF LEFT JOIN rbts b ON a.viewer_id=b.viewer_id AND a.label_ts>=b.ts)""")
 def pit_training_set(spark, d):
     ev, ti, lab = _title_frames(spark, d)
     s = T.training_set(lab, [T.Lookup(P.viewer_features_ts(ev, ti), ["viewer_id"], "ts"),
@@ -72,8 +73,8 @@ def pit_training_set(spark, d):
 
 
 @query(with_("ev", "ti", "vf", "rbts", "tfts", more=TLAB) + f"""SELECT event_id, played, label_ts, device, hour_of_day, minutes_watched_7d, plays_7d,
-  completion_rate_30d, skips_24h, popularity_30d, plays_30d, days_since_release, episodes_log, {r(MATCH, 6)} AS affinity_match,
-  {r(MATCH + '*(0.5::DOUBLE+coalesce(popularity_30d,0))', 6)} AS affinity_x_popularity, {r(HOUR, 6)} AS hour_affinity, {r(DECAY, 6)} AS session_decay
+  completion_rate_30d, skips_24h, popularity_30d, plays_30d, days_since_release, episodes_log, {r(MATCH, 9)} AS affinity_match,
+  {r(MATCH + '*(0.5::DOUBLE+coalesce(popularity_30d,0))', 9)} AS affinity_x_popularity, {r(HOUR, 11)} AS hour_affinity, {r(DECAY, 9)} AS session_decay
   FROM (SELECT * FROM (SELECT * EXCLUDE (ts) FROM (SELECT * FROM tlab l ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts)) a
   ASOF LEFT JOIN rbts b ON a.viewer_id=b.viewer_id AND a.label_ts>=b.ts) c
   ASOF LEFT JOIN tfts t ON c.title_id=t.title_id AND c.label_ts>=t.ts""")
@@ -111,14 +112,24 @@ def pit_composite_from_change_points(spark, d):
                      label_ts="label_ts")
 
 
-def rail_lookups(spark, d, point_in_time=True):
-    """The rail ranker's feature tables; without point_in_time, newest values per key."""
-    from .features import rail_snapshots
-    ev, ti, imp = I.events(spark, d), I.titles(spark, d), I.impressions(spark, d)
-    tables = [(P.viewer_features_ts(ev, ti), ["viewer_id"]),
-              (P.recent_behavior_ts(ev, ti), ["viewer_id"]),
-              (rail_snapshots(spark, d), ["rail_id"]),
-              (P.viewer_rail_features_ts(imp, dense=False), ["viewer_id", "rail_id"])]
+def rail_tables(spark, d):
+    """The rail ranker's stored feature tables and labels, written to the shared folder."""
+    ev, ti = I.events(spark, d), I.titles(spark, d)
+    imp = materialize(I.impressions(spark, d), "impressions")
+    title_ts = materialize(P.title_features_ts(ti, ev), "title_features_ts")
+    rails = I.rails(spark)
+    members = P.rail_title_map(ti, rails, P.data_clock(ev))
+    labels = materialize(T.rail_labels(imp, P.position_propensity(imp)), "rail_labels")
+    return labels, [
+        (materialize(P.viewer_features_ts(ev, ti), "viewer_features_ts"), ["viewer_id"]),
+        (materialize(P.recent_behavior_ts(ev, ti), "recent_behavior_ts"), ["viewer_id"]),
+        (materialize(P.rail_features_ts(imp, rails, members, title_ts), "rail_features_ts"), ["rail_id"]),
+        (materialize(P.viewer_rail_features_ts(imp, dense=False), "viewer_rail_features_ts"),
+         ["viewer_id", "rail_id"])]
+
+
+def rail_lookups(tables, point_in_time=True):
+    """Lookups on the stored tables; without point_in_time, newest values per key."""
     if point_in_time:
         return [T.Lookup(t, k, "ts") for t, k in tables]
     return [T.Lookup(latest_per_key(t, k), k) for t, k in tables]
@@ -129,18 +140,19 @@ RAIL_OUT = ["session_id", "viewer_id", "rail_id", "rail_position", "engaged", "l
             "rail_ctr_30d", "rail_avg_popularity", "rail_content_age_days", "rail_type_idx",
             "vr_impressions_30d", "vr_ctr_30d", "vr_last_click_epoch_s"]
 RAIL_FN = ["rail_taste_match", "rail_click_recency", "device_rail_fit", "hour_affinity", "session_decay"]
-RAIL_FN_SQL = (f"{r(TASTE, 6)} AS rail_taste_match, {r(RECENCY, 6)} AS rail_click_recency, {FIT} AS device_rail_fit, "
-               f"{r(HOUR, 6)} AS hour_affinity, {r(DECAY, 6)} AS session_decay")
-RTS = """t1 AS (SELECT * EXCLUDE (ts, viewer_id_1) FROM rlab l ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts),
-t2 AS (SELECT * EXCLUDE (ts, viewer_id_1) FROM t1 l ASOF LEFT JOIN rbts s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts),
-t3 AS (SELECT * EXCLUDE (ts, rail_id_1) FROM t2 l ASOF LEFT JOIN rfts s ON l.rail_id=s.rail_id AND l.label_ts>=s.ts),
-t4 AS (SELECT * EXCLUDE (ts, viewer_id_1, rail_id_1) FROM t3 l ASOF LEFT JOIN vrf s ON l.viewer_id=s.viewer_id AND l.rail_id=s.rail_id AND l.label_ts>=s.ts)"""
+RAIL_FN_SQL = (f"{r(TASTE, 9)} AS rail_taste_match, {r(RECENCY, 9)} AS rail_click_recency, {FIT} AS device_rail_fit, "
+               f"{r(HOUR, 11)} AS hour_affinity, {r(DECAY, 9)} AS session_decay")
+RTS = """t1 AS (SELECT l.*, s.* EXCLUDE (ts, viewer_id) FROM rlab l ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts),
+t2 AS (SELECT l.*, s.* EXCLUDE (ts, viewer_id) FROM t1 l ASOF LEFT JOIN rbts s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts),
+t3 AS (SELECT l.*, s.* EXCLUDE (ts, rail_id) FROM t2 l ASOF LEFT JOIN rfts s ON l.rail_id=s.rail_id AND l.label_ts>=s.ts),
+t4 AS (SELECT l.*, s.* EXCLUDE (ts, viewer_id, rail_id) FROM t3 l ASOF LEFT JOIN vrf s ON l.viewer_id=s.viewer_id AND l.rail_id=s.rail_id AND l.label_ts>=s.ts)"""
 RAIL_BASE = ("ev", "ti", "rails", "imp", "clock", "prop", "rtm", "tfts", "vf", "rbts", "rfts", "vrf")
 
 
 @query(with_(*RAIL_BASE, more=RLAB + ",\n" + RTS) + f"SELECT {', '.join(RAIL_OUT)}, {RAIL_FN_SQL} FROM t4")
 def rail_training_set(spark, d):
-    s = T.training_set(rail_label_frame(spark, d), rail_lookups(spark, d), R.RAIL_FUNCTIONS, "label_ts", [])
+    labels, tables = rail_tables(spark, d)
+    s = T.training_set(labels, rail_lookups(tables), R.RAIL_FUNCTIONS, "label_ts", [])
     return _round(s.select(*RAIL_OUT, *RAIL_FN), ["rail_taste_match", "rail_click_recency", "hour_affinity",
                                                   "session_decay"])
 
@@ -226,15 +238,17 @@ def _missing_rates_sql():
 
 @query(with_(*RAIL_BASE, more=RLAB + ",\n" + RTS) + _missing_rates_sql())
 def lookup_null_rates(spark, d):
-    s = T.training_set(rail_label_frame(spark, d), rail_lookups(spark, d), [], "label_ts", [])
+    labels, tables = rail_tables(spark, d)
+    s = T.training_set(labels, rail_lookups(tables), [], "label_ts", [])
     return _round(T.null_rates(s, ["vr_ctr_30d", "minutes_watched_7d", "skips_24h", "rail_ctr_30d"]),
-                  ["null_rate"])
+                  ["null_rate"], 6)
 
 
 @query()
 def column_taxonomy(spark, d):
     """Which training-set columns the ranker reads as what, and which nobody claims."""
-    s = T.training_set(rail_label_frame(spark, d), rail_lookups(spark, d), R.RAIL_FUNCTIONS, "label_ts", [])
+    labels, tables = rail_tables(spark, d)
+    s = T.training_set(labels, rail_lookups(tables), R.RAIL_FUNCTIONS, "label_ts", [])
     num, cat, neither = T.model_columns()
     missing, unused = T.check_model_columns(s.columns, num, cat, neither)
     role = ([(c, "numeric") for c in num if c in s.columns] + [(c, "categorical") for c in cat if c in s.columns]
@@ -277,7 +291,7 @@ def standardized(spark, d):
                   ["score_a_z", "rail_position_z"], 5)
 
 
-@query(with_("ev", "ti", "vf", more=TLAB) + f""", x AS (SELECT l.viewer_id, {r(HOUR, 6)} AS h FROM (SELECT * FROM tlab) l
+@query(with_("ev", "ti", "vf", more=TLAB) + f""", x AS (SELECT l.viewer_id, {r(HOUR, 11)} AS h FROM (SELECT * FROM tlab) l
   ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts)
 SELECT viewer_id, count(*) AS requests, min(h)<max(h) AS varies FROM x GROUP BY 1""")
 def function_varies_by_context(spark, d):
@@ -287,15 +301,15 @@ def function_varies_by_context(spark, d):
     return T.context_varies(_round(s, ["hour_affinity"]), ["viewer_id"], "hour_affinity")
 
 
-@query(with_("ev", "ti", "vf") + f"""SELECT viewer_id, ts, {r('list_sum(l)/nullif(len(l),0)', 6)} AS taste_v2, {r('list_sum(z)/8', 6)} AS taste_v1
-FROM (SELECT viewer_id, ts, list_filter([{', '.join(f'nullif(genre_affinity_{g},0)' for g in GENRES)}], x -> x IS NOT NULL) AS l, {AFFS} AS z FROM vf)
+@query(with_("ev", "ti", "vf") + f"""SELECT viewer_id, ts, {r('list_sum(l)/nullif(len(l),0)', 9)} AS taste_v2, {r('list_sum(z)/8', 9)} AS taste_v1
+FROM (SELECT viewer_id, ts, list_filter([{', '.join(f'nullif(genre_affinity_{g},0)' for g in GENRES)}], lambda x: x IS NOT NULL) AS l, {AFFS} AS z FROM vf)
 WHERE len(l)>0 UNION ALL SELECT viewer_id, ts, 0.0, 0.0 FROM vf WHERE {' AND '.join(f'genre_affinity_{g}=0' for g in GENRES)}""")
 def taste_match_versions(spark, d):
     """Two versions of one function side by side; zero affinity stands in for unknown."""
     v = P.viewer_features_ts(I.events(spark, d), I.titles(spark, d))
     known = [F.when(F.col(c) != 0, F.col(c)) for c in R.AFFINITY]
-    return v.select("viewer_id", "ts", F.round(R.rail_taste_match_v2(known), 6).alias("taste_v2"),
-                    F.round(R.rail_taste_match([F.col(c) for c in R.AFFINITY], F.lit(-1)), 6).alias("taste_v1"))
+    return v.select("viewer_id", "ts", F.round(R.rail_taste_match_v2(known), 9).alias("taste_v2"),
+                    F.round(R.rail_taste_match([F.col(c) for c in R.AFFINITY], F.lit(-1)), 9).alias("taste_v1"))
 
 
 @query(with_("vi") + f"SELECT viewer_id, {r(unit(chr(39) + 'watchlist|' + chr(39) + '||viewer_id'), 9)} AS unit_value, "
