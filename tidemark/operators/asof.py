@@ -19,10 +19,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _BUCKET_US = {"hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
 
 
-def _bucket(ts: Column, width_us: int) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(width_us)).cast("bigint")
-
-
 def asof_join(labels: DataFrame, snapshots: DataFrame, on: list[str], label_ts: str = "event_ts",
               snapshot_ts: str = "ts", how: str = "left", keep_ts: str | None = None,
               bucket: str = "day", hot_rows: int = 1_000_000,
@@ -43,59 +39,47 @@ def asof_join(labels: DataFrame, snapshots: DataFrame, on: list[str], label_ts:
         raise ValueError(f"label frame already has columns {clash}")
     key = on + ["_b"]
 
-    lab = labels.withColumn("_b", _bucket(F.col(label_ts), width))
-    need = ((labels if probe is None else probe)
-            .select(*on, _bucket(F.col(label_ts), width).alias("_b"))
-            .where(F.col("_b").isNotNull()).groupBy(*key)
-            .agg(F.count(F.lit(1)).alias("_n")))
-    hot = (need.where(F.col("_n") > hot_rows)
-           .select(*key, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_splits")))
-
-    in_bucket = Window.partitionBy(*key).orderBy("_start")
-    snap = (snapshots.where(F.col(snapshot_ts).isNotNull())
-            .select(*on, _bucket(F.col(snapshot_ts), width).alias("_b"),
-                    F.col(snapshot_ts).alias("_start"),
-                    F.struct(*[F.col(c) for c in feats], F.col(snapshot_ts).alias("_at")).alias("_v"))
-            .withColumn("_end", F.lead("_start").over(in_bucket))
-            .withColumn("_first", F.min("_start").over(Window.partitionBy(*key))))
-
-    null_of = lambda f, c: F.lit(None).cast(f.schema[c].dataType)
-    heads = (snap.where(F.col("_end").isNull())
-             .select(*key, "_first", "_v", F.lit(False).alias("_need")))
-    asked = need.select(*key, null_of(snap, "_first").alias("_first"),
-                        null_of(snap, "_v").alias("_v"), F.lit(True).alias("_need"))
-    per_key = Window.partitionBy(*on).orderBy("_b")
-    carried = (heads.unionByName(asked)
-               .withColumn("_carry", F.last("_v", ignorenulls=True).over(
-                   per_key.rangeBetween(Window.unboundedPreceding, -1)))
-               .withColumn("_end", F.min("_first").over(per_key.rangeBetween(0, 0)))
-               .where(F.col("_need") & F.col("_carry").isNotNull())
-               .select(*key, null_of(snap, "_start").alias("_start"), "_end",
-                       F.col("_carry").alias("_v")))
-
-    intervals = (snap.select(*key, "_start", "_end", "_v").unionByName(carried)
+    q = lambda names: [f"`{c}`" for c in names]
+    by = ", ".join(q(key))
+    bucket_of = lambda c: f"CAST(floor(unix_micros(`{c}`) / {width}) AS BIGINT) AS _b"
+
+    need = ((labels if probe is None else probe).selectExpr(*q(on), bucket_of(label_ts))
+            .where("_b IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("_n")))
+    # At most labels / hot_rows rows: bounded by construction.
+    hot = (need.where(f"_n > {hot_rows}")
+           .selectExpr(*q(key), f"CAST(ceil(_n / {hot_rows}) AS INT) AS _splits"))
+
+    body = ", ".join(q(feats) + [f"`{snapshot_ts}` AS _at"])
+    snap = (snapshots.where(f"`{snapshot_ts}` IS NOT NULL")
+            .selectExpr(*q(on), bucket_of(snapshot_ts), f"`{snapshot_ts}` AS _start",
+                        f"struct({body}) AS _v")
+            .selectExpr("*", f"lead(_start) OVER (PARTITION BY {by} ORDER BY _start) AS _end",
+                        f"min(_start) OVER (PARTITION BY {by}) AS _first"))
+    heads = snap.where("_end IS NULL").selectExpr(*q(key), "_first", "_v", "false AS _need")
+    asked = need.selectExpr(*q(key), "true AS _need")
+    per_key = f"PARTITION BY {', '.join(q(on))} ORDER BY _b RANGE BETWEEN"
+    carried = (heads.unionByName(asked, allowMissingColumns=True)
+               .selectExpr(*q(key), "_need",
+                           f"last(_v, true) OVER ({per_key} UNBOUNDED PRECEDING AND 1 PRECEDING) AS _v",
+                           f"min(_first) OVER ({per_key} CURRENT ROW AND CURRENT ROW) AS _end")
+               .where("_need AND _v IS NOT NULL").select(*key, "_end", "_v"))
+
+    intervals = (snap.drop("_first").unionByName(carried, allowMissingColumns=True)
                  .join(F.broadcast(hot), key, "left")
-                 .withColumn("_salt", F.explode(F.sequence(
-                     F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)))
-                 .drop("_splits"))
-    # ``hot`` holds at most labels / hot_rows rows: bounded by construction.
-    salted = (lab.join(F.broadcast(hot), key, "left")
-              .withColumn("_salt", F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(
-                  F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(labels)]),
-                         F.col("_splits").cast("bigint")).cast("int")))
-              .drop("_splits"))
-
-    keys = key + ["_salt"]
-    t = F.col(f"l.{label_ts}")
-    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
-    cond += [F.col("r._start").isNull() | (F.col("r._start") <= t),
-             F.col("r._end").isNull() | (t < F.col("r._end"))]
-    joined = salted.alias("l").join(intervals.alias("r"), cond, how)
-    cols = [F.col(f"l.{c}").alias(c) for c in labels.columns]
-    cols += [F.col(f"r._v.{c}").alias(c) for c in feats]
-    if keep_ts:
-        cols.append(F.col("r._v._at").alias(keep_ts))
-    return joined.select(*cols)
+                 .selectExpr(*q(key), "_start", "_end", "_v",
+                             "explode(sequence(0, coalesce(_splits, 1) - 1)) AS _salt"))
+    row = ", ".join(q(_hashable(labels)))
+    salted = (labels.selectExpr("*", bucket_of(label_ts))
+              .join(F.broadcast(hot), key, "left")
+              .selectExpr(*q(labels.columns), "_b",
+                          f"CASE WHEN _splits IS NULL THEN 0 ELSE CAST(pmod(xxhash64({row}), _splits) AS INT) END AS _salt"))
+
+    same = " AND ".join(f"l.`{k}` = r.`{k}`" for k in key + ["_salt"])
+    inside = (f"(r._start IS NULL OR r._start <= l.`{label_ts}`) AND "
+              f"(r._end IS NULL OR l.`{label_ts}` < r._end)")
+    joined = salted.alias("l").join(intervals.alias("r"), F.expr(f"{same} AND {inside}"), how)
+    out = joined.select("l.*", "r._v.*").drop("_b", "_salt")
+    return out.withColumnRenamed("_at", keep_ts) if keep_ts else out.drop("_at")
 
 
 def _hashable(df: DataFrame) -> list[str]:
