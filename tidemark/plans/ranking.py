@@ -1 +1,245 @@
-"""placeholder"""
+"""Eligibility, candidates, ranking, assembly and fallbacks over whole populations."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..constants import INPROGRESS_DAYS, RAIL_GATES, WATCHLIST_SHARE
+from ..functions.keys import stable_unit
+from ..operators.ranking import ranked, top_per_group
+
+FLAGS = ["has_inprogress", "has_history", "has_simulcast_history", "has_watchlist"]
+
+
+def watched_titles(events: DataFrame) -> DataFrame:
+    """Last watch per (viewer, title)."""
+    return (events.where(F.col("watch_seconds") > 0).groupBy("viewer_id", "title_id")
+            .agg(F.max("event_ts").alias("last_ts")))
+
+
+def state_counts(events: DataFrame, titles: DataFrame, as_of: Column) -> DataFrame:
+    """In-progress, watched and simulcast title counts for viewers with history."""
+    recent = F.col("last_ts") > as_of - F.expr(f"INTERVAL {INPROGRESS_DAYS} DAYS")
+    return (watched_titles(events).join(titles.select("title_id", "is_simulcast"), "title_id")
+            .groupBy("viewer_id")
+            .agg(F.count_if(recent).alias("inprogress"), F.count(F.lit(1)).alias("history"),
+                 F.count_if("is_simulcast").alias("simulcast")))
+
+
+def has_watchlist(viewer: Column) -> Column:
+    return stable_unit(F.lit("watchlist"), viewer) < WATCHLIST_SHARE
+
+
+def viewer_state(events: DataFrame, titles: DataFrame, viewers: DataFrame, as_of: Column) -> DataFrame:
+    """Gate flags for every viewer; the clock is the data's, not the wall's."""
+    w = watched_titles(events).join(titles.select("title_id", "is_simulcast"), "title_id", "left")
+    recent = F.col("last_ts") > as_of - F.expr(f"INTERVAL {INPROGRESS_DAYS} DAYS")
+    s = w.groupBy("viewer_id").agg(
+        F.max(recent.cast("int")).alias("_p"), F.lit(1).alias("_h"),
+        F.max(F.coalesce("is_simulcast", F.lit(False)).cast("int")).alias("_s"))
+    flag = lambda c: F.coalesce(F.col(c), F.lit(0)) == 1
+    return (viewers.select("viewer_id").join(s, "viewer_id", "left")
+            .select("viewer_id", flag("_p").alias("has_inprogress"), flag("_h").alias("has_history"),
+                    flag("_s").alias("has_simulcast_history"),
+                    has_watchlist(F.col("viewer_id")).alias("has_watchlist")))
+
+
+def eligible_rails(events: DataFrame, titles: DataFrame, viewers: DataFrame, rails: DataFrame,
+                   as_of: Column, only: DataFrame | None = None) -> DataFrame:
+    """(viewer_id, rail_id) pairs a viewer may see.
+
+    ``only=None`` means everyone; an empty frame means no one. The rail catalog (a fixed, small
+    list) rides along as one array value, so viewers are not shuffled or paired to reach it.
+    """
+    who = viewers if only is None else viewers.join(only.select("viewer_id").distinct(),
+                                                    "viewer_id", "left_semi")
+    state = viewer_state(events, titles, who, as_of)
+    catalog = rails.agg(F.collect_list("rail_id")).scalar()
+
+    def shown(rail: Column) -> Column:
+        ok = F.lit(True)
+        for rid, flag in RAIL_GATES.items():
+            ok = ok & ((rail != rid) | F.col(flag))
+        return ok
+
+    offered = state.select("viewer_id", *FLAGS, F.explode(catalog).alias("rail_id"))
+    return offered.where(shown(F.col("rail_id"))).select("viewer_id", "rail_id")
+
+
+def eligible_rails_for(events: DataFrame, titles: DataFrame, rails: DataFrame, viewer_id,
+                       as_of: Column) -> DataFrame:
+    """One viewer's rails in editorial order."""
+    mine = events.where(F.col("viewer_id") == viewer_id)
+    one = rails.sparkSession.range(1).select(F.lit(viewer_id).alias("viewer_id"))
+    pairs = eligible_rails(mine, titles, one, rails, as_of)
+    return (pairs.join(rails, "rail_id").select("rail_id", "rail_name", "rail_type", "rail_genre",
+                                                "editorial_rank").orderBy("editorial_rank"))
+
+
+def with_context(pairs: DataFrame, clock: Column, device: str, locale: str = "en-US",
+                 hour: int | None = None, day_of_week: int | None = None,
+                 surface: str | None = None) -> DataFrame:
+    """Request columns shared by every candidate row; hour and weekday default to the clock's.
+
+    Weekdays count from Monday = 0.
+    """
+    pick = lambda v, dflt: (F.lit(v) if v is not None else dflt).cast("bigint")
+    cols = {"device": F.lit(device), "locale": F.lit(locale),
+            "hour_of_day": pick(hour, F.hour(clock)), "day_of_week": pick(day_of_week, F.weekday(clock)),
+            "request_epoch_s": F.unix_timestamp(clock)}
+    if surface is not None:
+        cols["surface"] = F.lit(surface)
+    return pairs.withColumns(cols)
+
+
+def completed_titles(events: DataFrame) -> DataFrame:
+    return (events.where(F.col("event_type") == "complete").select("viewer_id", "title_id").distinct())
+
+
+def candidates(entitlements: DataFrame, titles: DataFrame, events: DataFrame, limit: int = 25) -> DataFrame:
+    """Entitled, not yet completed titles: the most popular ``limit`` per viewer."""
+    open_ = (entitlements.where("allowed").select("viewer_id", "title_id")
+             .join(completed_titles(events), ["viewer_id", "title_id"], "left_anti"))
+    t = titles.select("title_id", "title_name", "primary_genre", "maturity_rating", "intrinsic_popularity")
+    return top_per_group(open_.join(t, "title_id"), ["viewer_id"],
+                         [F.col("intrinsic_popularity").desc(), F.col("title_id")], limit,
+                         "candidate_rank").drop("intrinsic_popularity")
+
+
+def rank_rails(scored: DataFrame, score: str = "prediction", top_n: int | None = None) -> DataFrame:
+    """Rail order per viewer: score descending, rail id ascending."""
+    order = [F.col(score).desc(), F.col("rail_id")]
+    if top_n:
+        return top_per_group(scored, ["viewer_id"], order, top_n, "rail_rank")
+    return ranked(scored, ["viewer_id"], order, "rail_rank")
+
+
+def moved_from_editorial(ranked_rails: DataFrame, rails: DataFrame) -> DataFrame:
+    """How far each rail moved against the editorial order of the same eligible set."""
+    j = ranked_rails.join(rails.select("rail_id", "editorial_rank"), "rail_id")
+    j = ranked(j, ["viewer_id"], [F.col("editorial_rank"), F.col("rail_id")], "editorial_position")
+    return j.withColumn("moved", F.col("editorial_position") - F.col("rail_rank"))
+
+
+def rail_fill(pairs: DataFrame, rails: DataFrame, members: DataFrame, entitlements: DataFrame,
+              events: DataFrame, titles: DataFrame, limit: int) -> DataFrame:
+    """Titles inside each eligible rail: own history (newest first) for state-gated rails, the
+    catalogue map for the others; entitled in both."""
+    ent = entitlements.where("allowed").select("viewer_id", "title_id")
+    gated = list(RAIL_GATES)
+    p = pairs.join(rails.select("rail_id", "rail_type"), "rail_id")
+    hist = (watched_titles(events).join(ent, ["viewer_id", "title_id"], "left_semi")
+            .join(titles.select("title_id", "is_simulcast"), "title_id"))
+    # History is cut per viewer before it meets the gated rails: the newest titles overall and
+    # the newest simulcasts are all a rail of this length can show.
+    newest = [F.col("last_ts").desc(), F.col("title_id")]
+    all_h = top_per_group(hist, ["viewer_id"], newest, limit, "position").withColumn("_sim", F.lit(False))
+    sim_h = top_per_group(hist.where("is_simulcast"), ["viewer_id"], newest, limit, "position"
+                          ).withColumn("_sim", F.lit(True))
+    h = all_h.unionByName(sim_h).select("viewer_id", "title_id", "position", "_sim")
+    own = (p.where(F.col("rail_id").isin(gated))
+           .withColumn("_sim", F.col("rail_type") == "new_release")
+           .join(h, ["viewer_id", "_sim"]).select("viewer_id", "rail_id", "title_id", "position"))
+    cat = (ent.join(members, "title_id")
+           .where(~F.col("rail_id").isin(gated))
+           .join(p.select("viewer_id", "rail_id"), ["viewer_id", "rail_id"], "left_semi"))
+    cat = top_per_group(cat, ["viewer_id", "rail_id"], [F.col("rank_in_rail")], limit, "position")
+    return own.unionByName(cat.select("viewer_id", "rail_id", "title_id", "position"))
+
+
+def assemble_homepage(ranked_rails: DataFrame, fill: DataFrame, title_scores: DataFrame,
+                      rails_to_fill: int) -> DataFrame:
+    """First rails in order, each with its titles by score; a rail without titles stays empty."""
+    top = ranked_rails.where(F.col("rail_rank") <= rails_to_fill).select("viewer_id", "rail_id", "rail_rank")
+    f = fill.join(title_scores, ["viewer_id", "title_id"], "left")
+    # ``fill`` holds at most its per-rail limit, so each list is bounded.
+    key = F.struct((-F.coalesce(F.col("title_score"), F.lit(0.0))).alias("s"), F.col("position"),
+                   F.col("title_id"))
+    lists = f.groupBy("viewer_id", "rail_id").agg(F.sort_array(F.collect_list(key)).alias("l"))
+    ids = F.transform("l", lambda x: x["title_id"].cast("string"))
+    return (top.join(lists, ["viewer_id", "rail_id"], "left")
+            .select("viewer_id", "rail_id", "rail_rank",
+                    F.coalesce(F.array_join(ids, ","), F.lit("")).alias("titles")))
+
+
+def fallback_rails(pairs: DataFrame, rails: DataFrame, last_good: DataFrame) -> DataFrame:
+    """Order without a model: last good order restricted to eligible rails, the rest in editorial
+    order; plain editorial order for viewers without one.
+
+    ``last_good``: viewer_id, rail_id, cached_rank.
+    """
+    known = last_good.select("viewer_id").distinct().withColumn("_known", F.lit(True))
+    j = (pairs.join(rails.select("rail_id", "editorial_rank"), "rail_id")
+         .join(last_good, ["viewer_id", "rail_id"], "left").join(known, "viewer_id", "left"))
+    j = ranked(j, ["viewer_id"], [F.col("cached_rank").isNull(), F.col("cached_rank"),
+                                  F.col("editorial_rank")], "rail_rank")
+    return j.select("viewer_id", "rail_id", "rail_rank",
+                    F.when(F.col("_known"), "cached").otherwise("editorial").alias("source"))
+
+
+def title_fallback(cands: DataFrame, k: int) -> DataFrame:
+    """Best available title order per viewer: model score, else retrieval score, else popularity.
+
+    ``cands``: viewer_id, title_id, model_score, retrieval_score, popularity (scores may be null).
+    The source is decided per viewer, as one answer comes from one source.
+    """
+    per = cands.groupBy("viewer_id").agg(F.count("model_score").alias("_m"),
+                                         F.count("retrieval_score").alias("_r"))
+    source = (F.when(F.col("_m") > 0, "model").when(F.col("_r") > 0, "retrieval")
+              .otherwise("popularity"))
+    j = cands.join(per, "viewer_id").withColumn("source", source)
+    score = (F.when(F.col("source") == "model", F.col("model_score"))
+             .when(F.col("source") == "retrieval", F.col("retrieval_score"))
+             .otherwise(F.col("popularity")))
+    j = j.withColumn("score", score).where(F.col("score").isNotNull())
+    return top_per_group(j, ["viewer_id"], [F.col("score").desc(), F.col("title_id")], k, "position"
+                         ).select("viewer_id", "title_id", "position", "source", "score")
+
+
+def context_moves(scored: DataFrame, first: str) -> DataFrame:
+    """Per viewer and context: rails whose position differs from the first context's.
+
+    ``scored``: viewer_id, rail_id, context, prediction.
+    """
+    r = ranked(scored, ["viewer_id", "context"], [F.col("prediction").desc(), F.col("rail_id")], "rail_rank")
+    base = r.where(F.col("context") == first).select("viewer_id", "rail_id", F.col("rail_rank").alias("_b"))
+    return (r.where(F.col("context") != first).join(base, ["viewer_id", "rail_id"])
+            .groupBy("viewer_id", "context")
+            .agg(F.count(F.lit(1)).alias("rails"), F.count_if(F.col("rail_rank") != F.col("_b")).alias("moved")))
+
+
+def ranking_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two rankings of the same items: equal positions, largest score gap, rank correlation."""
+    j = (a.select("viewer_id", "rail_id", F.col("rail_rank").alias("ra"), F.col("prediction").alias("pa"))
+         .join(b.select("viewer_id", "rail_id", F.col("rail_rank").alias("rb"),
+                        F.col("prediction").alias("pb")), ["viewer_id", "rail_id"]))
+    return j.groupBy("viewer_id").agg(
+        F.count(F.lit(1)).alias("compared"), F.count_if(F.col("ra") == F.col("rb")).alias("identical_rank"),
+        F.max(F.abs(F.col("pa") - F.col("pb"))).alias("max_prob_delta"),
+        F.corr("ra", "rb").alias("spearman"))
+
+
+def score_shift(before: DataFrame, after: DataFrame, by: list[str], threshold: float = 0.001) -> DataFrame:
+    """Per item: score before and after, the change, and whether it counts as moved."""
+    j = (before.withColumnRenamed("score", "score_before")
+         .join(after.withColumnRenamed("score", "score_after"), by))
+    d = F.col("score_after") - F.col("score_before")
+    return j.withColumn("delta", d).withColumn("moved", F.abs(d) > threshold)
+
+
+def funnel(retrieved: DataFrame, entitlements: DataFrame, events: DataFrame, keep: int) -> DataFrame:
+    """Stage sizes per viewer: retrieved, entitled and unseen, ranked."""
+    ok = (entitlements.where("allowed").select("viewer_id", "title_id")
+          .join(completed_titles(events), ["viewer_id", "title_id"], "left_anti")
+          .withColumn("_ok", F.lit(1)))
+    j = retrieved.select("viewer_id", "title_id").join(ok, ["viewer_id", "title_id"], "left")
+    return (j.groupBy("viewer_id").agg(F.count(F.lit(1)).alias("retrieved"),
+                                       F.count("_ok").alias("entitled_unseen"))
+            .withColumn("ranked", F.least("entitled_unseen", F.lit(keep).cast("bigint"))))
+
+
+def viewer_sets(df: DataFrame, value: str, out: str) -> DataFrame:
+    """Distinct values per viewer as one sorted comma list; the list is bounded by the catalogue."""
+    d = df.select("viewer_id", value).distinct()
+    ids = F.array_sort(F.collect_list(value))
+    return d.groupBy("viewer_id").agg(F.array_join(F.transform(ids, lambda x: x.cast("string")), ",").alias(out))
