@@ -18,7 +18,7 @@ CTE["ev"] = f"""ev AS (
     CASE WHEN event_type='view' THEN CASE WHEN value>35 THEN 1 ELSE 0 END END AS played,
     CASE WHEN event_id%2=0 THEN 'home_rail' ELSE 'post_play' END AS surface,
     ({DEV})[user_id%4+1] AS device, ({LOC})[user_id%3+1] AS locale,
-    CAST(hour(ts) AS BIGINT) AS hour_of_day, epoch_ms(ts) AS produced_epoch_ms
+    CAST(hour(ts) AS BIGINT) AS hour_of_day, epoch_us(ts)//1000 AS produced_epoch_ms
   FROM events)"""
 
 CTE["ti"] = f"""ti AS (
