@@ -2,9 +2,11 @@
 
 ``asof_join`` never sorts a key's whole history in one task. Time is cut into buckets:
 
-* snapshots are ordered inside (key, bucket) only;
-* the value each bucket starts with is carried over from earlier buckets, one row per
-  (key, bucket), so a key costs at most as many rows there as it has buckets;
+* buckets that hold labels are found by a map-side-combined count, and only their snapshots
+  go on to the join;
+* snapshots are ordered inside (key, bucket); the value a bucket starts with is carried over
+  from earlier buckets, one row per (key, bucket), so a key costs at most as many rows there
+  as it has buckets;
 * labels meet intervals in an equi-join on (key, bucket), which Spark broadcasts when the
   intervals are small, and buckets holding more than ``hot_rows`` labels are split further
   by a row hash, with the few intervals of that bucket repeated per split.
@@ -21,15 +23,17 @@ _BUCKET_US = {"hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_
 
 def asof_join(labels: DataFrame, snapshots: DataFrame, on: list[str], label_ts: str = "event_ts",
               snapshot_ts: str = "ts", how: str = "left", keep_ts: str | None = None,
-              bucket: str = "day", hot_rows: int = 1_000_000,
-              probe: DataFrame | None = None) -> DataFrame:
+              bucket: str = "day", hot_rows: int = 1_000_000, probe: DataFrame | None = None,
+              one_per_bucket: bool = False) -> DataFrame:
     """Attach to each label the newest snapshot of its key with ``snapshot_ts <= label_ts``.
 
     A label with no such snapshot keeps null features (``how="left"``) or is removed
     (``how="inner"``). Duplicate labels are kept. ``keep_ts`` names a column that reports
     the matched snapshot time. ``probe`` is a cheaper frame with the same (keys, time) rows,
     read to learn which buckets hold labels; chains of lookups pass the original labels so
-    the plan grows linearly.
+    the plan grows linearly. ``one_per_bucket`` states that a key has at most one snapshot per
+    bucket, as daily tables do: one ordering per key then suffices, and the job fails if the
+    statement is wrong.
     """
     width = _BUCKET_US[bucket]
     feats = [c for c in snapshots.columns if c not in on and c != snapshot_ts]
@@ -38,48 +42,68 @@ def asof_join(labels: DataFrame, snapshots: DataFrame, on: list[str], label_ts:
     if clash:
         raise ValueError(f"label frame already has columns {clash}")
     key = on + ["_b"]
-
     q = lambda names: [f"`{c}`" for c in names]
-    by = ", ".join(q(key))
     bucket_of = lambda c: f"CAST(floor(unix_micros(`{c}`) / {width}) AS BIGINT) AS _b"
 
     need = ((labels if probe is None else probe).selectExpr(*q(on), bucket_of(label_ts))
             .where("_b IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("_n")))
-    # At most labels / hot_rows rows: bounded by construction.
-    hot = (need.where(f"_n > {hot_rows}")
-           .selectExpr(*q(key), f"CAST(ceil(_n / {hot_rows}) AS INT) AS _splits"))
-
     body = ", ".join(q(feats) + [f"`{snapshot_ts}` AS _at"])
     snap = (snapshots.where(f"`{snapshot_ts}` IS NOT NULL")
             .selectExpr(*q(on), bucket_of(snapshot_ts), f"`{snapshot_ts}` AS _start",
-                        f"struct({body}) AS _v")
-            .selectExpr("*", f"lead(_start) OVER (PARTITION BY {by} ORDER BY _start) AS _end",
-                        f"min(_start) OVER (PARTITION BY {by}) AS _first"))
-    heads = snap.where("_end IS NULL").selectExpr(*q(key), "_first", "_v", "false AS _need")
-    asked = need.selectExpr(*q(key), "true AS _need")
-    per_key = f"PARTITION BY {', '.join(q(on))} ORDER BY _b RANGE BETWEEN"
-    carried = (heads.unionByName(asked, allowMissingColumns=True)
-               .selectExpr(*q(key), "_need",
-                           f"last(_v, true) OVER ({per_key} UNBOUNDED PRECEDING AND 1 PRECEDING) AS _v",
-                           f"min(_first) OVER ({per_key} CURRENT ROW AND CURRENT ROW) AS _end")
-               .where("_need AND _v IS NOT NULL").select(*key, "_end", "_v"))
-
-    intervals = (snap.drop("_first").unionByName(carried, allowMissingColumns=True)
-                 .join(F.broadcast(hot), key, "left")
-                 .selectExpr(*q(key), "_start", "_end", "_v",
-                             "explode(sequence(0, coalesce(_splits, 1) - 1)) AS _salt"))
+                        f"struct({body}) AS _v"))
+    rows = snap.unionByName(need, allowMissingColumns=True)
+    intervals = _one_per_bucket(rows, on) if one_per_bucket else _many_per_bucket(rows, on)
+    right = intervals.selectExpr("*", f"explode(sequence(0, CAST((_n - 1) DIV {hot_rows} AS INT))) AS _salt")
+
+    # At most labels / hot_rows rows: bounded by construction.
+    hot = (need.where(f"_n > {hot_rows}")
+           .selectExpr(*q(key), f"(_n - 1) DIV {hot_rows} + 1 AS _splits"))
     row = ", ".join(q(_hashable(labels)))
-    salted = (labels.selectExpr("*", bucket_of(label_ts))
-              .join(F.broadcast(hot), key, "left")
-              .selectExpr(*q(labels.columns), "_b",
-                          f"CASE WHEN _splits IS NULL THEN 0 ELSE CAST(pmod(xxhash64({row}), _splits) AS INT) END AS _salt"))
-
-    same = " AND ".join(f"l.`{k}` = r.`{k}`" for k in key + ["_salt"])
-    inside = (f"(r._start IS NULL OR r._start <= l.`{label_ts}`) AND "
-              f"(r._end IS NULL OR l.`{label_ts}` < r._end)")
-    joined = salted.alias("l").join(intervals.alias("r"), F.expr(f"{same} AND {inside}"), how)
-    out = joined.select("l.*", "r._v.*").drop("_b", "_salt")
-    return out.withColumnRenamed("_at", keep_ts) if keep_ts else out.drop("_at")
+    left = (labels.selectExpr("*", bucket_of(label_ts)).join(F.broadcast(hot), key, "left")
+            .selectExpr(*q(labels.columns), "_b",
+                        f"CAST(coalesce(pmod(xxhash64({row}), _splits), 0) AS INT) AS _salt"))
+
+    cond = " AND ".join(f"l.`{k}` = r.`{k}`" for k in key + ["_salt"])
+    if one_per_bucket:
+        pick = f"CASE WHEN r._new._at <= l.`{label_ts}` THEN r._new ELSE r._old END"
+    else:
+        pick = "r._v"
+        cond += (f" AND (r._start IS NULL OR r._start <= l.`{label_ts}`)"
+                 f" AND (r._end IS NULL OR l.`{label_ts}` < r._end)")
+    joined = (left.alias("l").join(right.alias("r"), F.expr(cond), how)
+              .selectExpr("l.*", f"{pick} AS _hit").drop("_b", "_salt"))
+    if how == "inner":
+        joined = joined.where("_hit IS NOT NULL")
+    result = joined.select(*labels.columns, "_hit.*")
+    return result.withColumnRenamed("_at", keep_ts) if keep_ts else result.drop("_at")
+
+
+def _one_per_bucket(rows: DataFrame, on: list[str]) -> DataFrame:
+    """One row per bucket that holds labels: its own snapshot and the newest one before it."""
+    by = f"PARTITION BY {', '.join(f'`{c}`' for c in on)} ORDER BY _b RANGE BETWEEN"
+    here = f"OVER ({by} CURRENT ROW AND CURRENT ROW)"
+    r = rows.selectExpr(*[f"`{c}`" for c in on], "_b", "_n",
+                        f"last(_v, true) OVER ({by} UNBOUNDED PRECEDING AND 1 PRECEDING) AS _old",
+                        f"last(_v, true) {here} AS _new", f"count(_v) {here} AS _c")
+    fail = "raise_error('more than one snapshot in a bucket')"
+    return r.where("_n IS NOT NULL").where(f"CASE WHEN _c > 1 THEN {fail} ELSE true END").drop("_c")
+
+
+def _many_per_bucket(rows: DataFrame, on: list[str]) -> DataFrame:
+    """Validity intervals [_start, _end) inside buckets that hold labels, including the value a
+    bucket starts with (null ``_start``). Only one row per (key, bucket) is ordered per key."""
+    key = [f"`{c}`" for c in on] + ["_b"]
+    by = ", ".join(key)
+    # A label row sorts first, so its ``_end`` is the bucket's first snapshot time.
+    w = rows.selectExpr("*", f"lead(_start) OVER (PARTITION BY {by} ORDER BY _start NULLS FIRST) AS _end",
+                        f"max(_n) OVER (PARTITION BY {by}) AS _labels")
+    inside = w.where("_n IS NULL AND _labels IS NOT NULL").selectExpr(*key, "_start", "_end", "_v", "_labels AS _n")
+    edge = w.where("_n IS NOT NULL OR _end IS NULL").select(*on, "_b", "_n", "_end", "_v")
+    per_key = f"PARTITION BY {', '.join(key[:-1])} ORDER BY _b"
+    carried = (edge.selectExpr(*key, "_n", "_end",
+                               f"last(_v, true) OVER ({per_key} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _v")
+               .where("_n IS NOT NULL AND _v IS NOT NULL"))
+    return inside.unionByName(carried, allowMissingColumns=True)
 
 
 def _hashable(df: DataFrame) -> list[str]:

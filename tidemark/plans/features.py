@@ -306,7 +306,7 @@ def rail_features_ts(impressions: DataFrame, rails: DataFrame, members: DataFram
     first = content.agg(F.min("ts")).scalar()
     asked = daily.withColumn("_at", F.greatest("ts", first))
     j = asof_join(asked, content.withColumnRenamed("ts", "_cts"), ["rail_id"],
-                  label_ts="_at", snapshot_ts="_cts")
+                  label_ts="_at", snapshot_ts="_cts", one_per_bucket=True)
     return (j.join(rails, "rail_id").select("rail_id", "ts", *_rail_columns())
             .select("rail_id", "ts", *RAIL_FEATURES))
 

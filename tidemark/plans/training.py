@@ -17,11 +17,15 @@ RAIL_LABEL_SIDE = ["rail_position", "was_viewport", "sample_weight"]
 
 @dataclass(frozen=True)
 class Lookup:
-    """A feature table to attach: by time when ``ts`` is given, else newest value."""
+    """A feature table to attach: by time when ``ts`` is given, else newest value.
+
+    ``daily`` states that a key has one snapshot per day, as every feature table here does.
+    """
     table: DataFrame
     keys: list[str]
     ts: str | None = None
     columns: list[str] | None = field(default=None)
+    daily: bool = True
 
 
 def title_labels(events: DataFrame) -> DataFrame:
@@ -67,7 +71,8 @@ def training_set(labels: DataFrame, lookups: list[Lookup], functions: list[Featu
         cols = lk.columns or [c for c in lk.table.columns if c not in lk.keys and c != lk.ts]
         t = lk.table.select(*lk.keys, *([lk.ts] if lk.ts else []), *cols)
         if lk.ts:
-            out = asof_join(out, t, lk.keys, label_ts=label_ts, snapshot_ts=lk.ts, probe=labels)
+            out = asof_join(out, t, lk.keys, label_ts=label_ts, snapshot_ts=lk.ts, probe=labels,
+                            one_per_bucket=lk.daily)
         else:
             out = lookup_latest(out, t, lk.keys)
     return apply_functions(out, functions).drop(*exclude)
@@ -135,7 +140,7 @@ def pit_report(labels: DataFrame, snapshots: DataFrame, keys: list[str], value:
     """Value in force at label time beside the newest value, with a difference flag."""
     from ..operators.asof import latest_per_key
     then = asof_join(labels, snapshots.select(*keys, "ts", value), keys, label_ts=label_ts,
-                     how="inner")
+                     how="inner", one_per_bucket=True)
     now = latest_per_key(snapshots.select(*keys, "ts", value), keys).withColumnRenamed(
         value, f"{value}_now")
     return (then.join(now, keys)

@@ -166,23 +166,23 @@ def context_sensitivity(spark, d):
 
 
 @query(with_(*SCORED, more=STATE + ",\n" + SCORE) + f"""SELECT a.viewer_id, count(*) AS compared, count(*) FILTER (a.rail_rank=b.rail_rank) AS identical_rank,
-  {r('max(abs(a.prediction-b.prediction))', 7)} AS max_prob_delta, {r('corr(a.rail_rank, b.rail_rank)', 7)} AS spearman
+  {r('max(abs(a.prediction-b.prediction))', 9)} AS max_prob_delta, {r('corr(a.rail_rank, b.rail_rank)', 7)} AS spearman
   FROM rk a JOIN rk b ON a.viewer_id=b.viewer_id AND a.rail_id=b.rail_id AND b.context='09 mobile' WHERE a.context='21 tv' GROUP BY 1""")
 def ranking_agreement(spark, d):
     s = scored_pairs(spark, d, [CONTEXTS[0], CONTEXTS[3]])
     half = lambda n: K.rank_rails(s.where(F.col("context") == n))
     g = K.ranking_agreement(half("21 tv"), half("09 mobile"))
-    return g.withColumns({c: F.round(c, 7) for c in ("max_prob_delta", "spearman")})
+    return g.withColumns({"max_prob_delta": F.round("max_prob_delta", 9), "spearman": F.round("spearman", 7)})
 
 
 @query(with_(*SCORED, more=STATE + ",\n" + SCORE) + f"""SELECT a.viewer_id, a.rail_id, a.prediction AS score_before, b.prediction AS score_after,
-  {r('b.prediction-a.prediction', 7)} AS delta, abs(b.prediction-a.prediction)>0.001 AS moved
+  {r('b.prediction-a.prediction', 9)} AS delta, abs(b.prediction-a.prediction)>0.001 AS moved
   FROM rk a JOIN rk b ON a.viewer_id=b.viewer_id AND a.rail_id=b.rail_id AND b.context='21 mobile' WHERE a.context='21 tv'""")
 def score_shift(spark, d):
     s = scored_pairs(spark, d, [CONTEXTS[0], CONTEXTS[2]])
     half = lambda n: s.where(F.col("context") == n).select("viewer_id", "rail_id", F.col("prediction").alias("score"))
     g = K.score_shift(half("21 tv"), half("21 mobile"), ["viewer_id", "rail_id"])
-    return g.withColumn("delta", F.round("delta", 7))
+    return g.withColumn("delta", F.round("delta", 9))
 
 
 FILL = """hist AS (SELECT w.viewer_id, w.title_id, last_ts, is_simulcast FROM watched w JOIN ent e USING (viewer_id, title_id) JOIN ti ON ti.title_id=w.title_id WHERE allowed),

@@ -58,7 +58,7 @@ def label_weights(spark, d):
 
 @query(with_("ev", "ti", "vf", "rbts", more=TLAB) + f"""SELECT event_id, viewer_id, title_id, label_ts, played, minutes_watched_7d, plays_7d,
   completion_rate_30d, typical_watch_hour, hour_concentration, minutes_watched_24h, last_primary_genre,
-  {r(HOUR, 11)} AS hour_affinity, {r(DECAY, 9)} AS session_decay
+  {r(HOUR, 11)} AS hour_affinity, round({DECAY}, 9) AS session_decay
   FROM (SELECT a.*, b.* EXCLUDE (viewer_id, ts) FROM (SELECT l.*, s.* EXCLUDE (viewer_id, ts) FROM tlab l ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts) a
   ASOF LEFT JOIN rbts b ON a.viewer_id=b.viewer_id AND a.label_ts>=b.ts)""")
 def pit_training_set(spark, d):
@@ -74,7 +74,7 @@ def pit_training_set(spark, d):
 
 @query(with_("ev", "ti", "vf", "rbts", "tfts", more=TLAB) + f"""SELECT event_id, played, label_ts, device, hour_of_day, minutes_watched_7d, plays_7d,
   completion_rate_30d, skips_24h, popularity_30d, plays_30d, days_since_release, episodes_log, {r(MATCH, 9)} AS affinity_match,
-  {r(MATCH + '*(0.5::DOUBLE+coalesce(popularity_30d,0))', 9)} AS affinity_x_popularity, {r(HOUR, 11)} AS hour_affinity, {r(DECAY, 9)} AS session_decay
+  {r(MATCH + '*(0.5::DOUBLE+coalesce(popularity_30d,0))', 9)} AS affinity_x_popularity, {r(HOUR, 11)} AS hour_affinity, round({DECAY}, 9) AS session_decay
   FROM (SELECT * FROM (SELECT * EXCLUDE (ts) FROM (SELECT * FROM tlab l ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts)) a
   ASOF LEFT JOIN rbts b ON a.viewer_id=b.viewer_id AND a.label_ts>=b.ts) c
   ASOF LEFT JOIN tfts t ON c.title_id=t.title_id AND c.label_ts>=t.ts""")
@@ -99,7 +99,7 @@ def pit_composite_lookup(spark, d):
     imp = I.impressions(spark, d)
     lab = imp.select("session_id", "viewer_id", "rail_id", "rail_position", F.col("rendered_ts").alias("label_ts"))
     return asof_join(lab, P.viewer_rail_features_ts(imp), ["viewer_id", "rail_id"], label_ts="label_ts",
-                     keep_ts="snapshot_ts")
+                     keep_ts="snapshot_ts", one_per_bucket=True)
 
 
 @query(with_("imp", "vrf", more="lab AS (SELECT session_id, viewer_id, rail_id, rail_position, rendered_ts AS label_ts FROM imp)")
@@ -140,8 +140,8 @@ RAIL_OUT = ["session_id", "viewer_id", "rail_id", "rail_position", "engaged", "l
             "rail_ctr_30d", "rail_avg_popularity", "rail_content_age_days", "rail_type_idx",
             "vr_impressions_30d", "vr_ctr_30d", "vr_last_click_epoch_s"]
 RAIL_FN = ["rail_taste_match", "rail_click_recency", "device_rail_fit", "hour_affinity", "session_decay"]
-RAIL_FN_SQL = (f"{r(TASTE, 9)} AS rail_taste_match, {r(RECENCY, 9)} AS rail_click_recency, {FIT} AS device_rail_fit, "
-               f"{r(HOUR, 11)} AS hour_affinity, {r(DECAY, 9)} AS session_decay")
+RAIL_FN_SQL = (f"{r(TASTE, 9)} AS rail_taste_match, round({RECENCY}, 9) AS rail_click_recency, {FIT} AS device_rail_fit, "
+               f"{r(HOUR, 11)} AS hour_affinity, round({DECAY}, 9) AS session_decay")
 RTS = """t1 AS (SELECT l.*, s.* EXCLUDE (ts, viewer_id) FROM rlab l ASOF LEFT JOIN vf s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts),
 t2 AS (SELECT l.*, s.* EXCLUDE (ts, viewer_id) FROM t1 l ASOF LEFT JOIN rbts s ON l.viewer_id=s.viewer_id AND l.label_ts>=s.ts),
 t3 AS (SELECT l.*, s.* EXCLUDE (ts, rail_id) FROM t2 l ASOF LEFT JOIN rfts s ON l.rail_id=s.rail_id AND l.label_ts>=s.ts),
