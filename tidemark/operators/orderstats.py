@@ -11,22 +11,40 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+_STRIDE = 64
 
-def value_ranks(df: DataFrame, by: list[str], value: str, ranges: int = 64,
+
+def _search(cuts: str, coarse: str, value: Column) -> Column:
+    """How many cut points lie below ``value``: first among every ``_STRIDE``-th point, then
+    among the points of that stretch."""
+    block = F.size(F.filter(coarse, lambda c: c < value))
+    start = F.greatest(block - 1, F.lit(0)) * _STRIDE
+    return start + F.size(F.filter(F.slice(cuts, start + 1, F.lit(_STRIDE)), lambda c: c < value))
+
+
+def _ranges(df: DataFrame) -> int:
+    """Value ranges per group: as many as shuffle tasks, so ordering work spreads with the cluster."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(4096, max(64, tasks))
+
+
+def value_ranks(df: DataFrame, by: list[str], value: str, ranges: int | None = None,
                 extra: dict[str, Column] | None = None) -> DataFrame:
     """One row per distinct (by, value): ``n`` equal rows, ``n_less`` rows below it, plus any
     ``extra`` additive aggregates (as ``name``) with their running total below (``name_less``)."""
     extra = extra or {}
+    ranges = ranges or _ranges(df)
     vals = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
             .agg(F.count(F.lit(1)).alias("n"), *[a.alias(k) for k, a in extra.items()]))
     points = [i / ranges for i in range(1, ranges)]
-    sketch = F.percentile_approx(value, points, 1000)
+    sketch = F.percentile_approx(value, points, max(1000, 4 * ranges)).alias("_cuts")
+    every = F.filter("_cuts", lambda c, i: i % _STRIDE == 0).alias("_coarse")
     if by:
-        cuts = df.groupBy(*by).agg(sketch.alias("_cuts"))
-        vals = vals.join(cuts, by)
+        vals = vals.join(df.groupBy(*by).agg(sketch).select(*by, "_cuts", every), by)
     else:
-        vals = vals.withColumn("_cuts", df.agg(sketch).scalar())
-    vals = vals.withColumn("_r", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+        one = df.agg(sketch).select(F.struct("_cuts", every))
+        vals = vals.withColumn("_s", one.scalar()).select("*", "_s.*").drop("_s")
+    vals = vals.withColumn("_r", _search("_cuts", "_coarse", F.col(value))).drop("_cuts", "_coarse")
 
     sums = ["n"] + list(extra)
     part = vals.groupBy(*by, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
@@ -37,9 +55,7 @@ def value_ranks(df: DataFrame, by: list[str], value: str, ranges: int = 64,
                                     for c in sums])
     inside = (Window.partitionBy(*by, "_r").orderBy(value)
               .rowsBetween(Window.unboundedPreceding, -1))
-    out = vals
-    for c in sums:
-        out = out.withColumn(f"_i_{c}", F.coalesce(F.sum(c).over(inside), F.lit(0)))
+    out = vals.withColumns({f"_i_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
     out = out.join(part, by + ["_r"])
     return out.select(*by, value, *sums,
                       *[(F.col(f"_b_{c}") + F.col(f"_i_{c}")).cast("bigint").alias(f"{c}_less")
@@ -47,7 +63,7 @@ def value_ranks(df: DataFrame, by: list[str], value: str, ranges: int = 64,
 
 
 def order_statistics(df: DataFrame, by: list[str], value: str,
-                     index: dict[str, Callable[[Column], Column]], ranges: int = 64) -> DataFrame:
+                     index: dict[str, Callable[[Column], Column]], ranges: int | None = None) -> DataFrame:
     """Values at the given zero-based positions of each group's sorted values.
 
     ``index`` maps an output name to a function of the group size. Returns by, n, names.
@@ -97,3 +113,12 @@ def average_ranks(df: DataFrame, by: list[str], value: str, out: str) -> DataFra
     r = value_ranks(df, by, value)
     r = r.select(*by, value, (F.col("n_less") + (F.col("n") + 1) / 2).alias(out))
     return df.join(r, by + [value], "left")
+
+
+def ordinals(df: DataFrame, by: list[str], value: str, tie: str, out: str) -> DataFrame:
+    """Zero-based position in (value, tie) order inside each group, groups of any size: rows
+    below the value are counted, and only rows sharing it are ordered together."""
+    r = value_ranks(df, by, value).select(*by, value, F.col("n_less").alias("_below"))
+    same = Window.partitionBy(*by, value).orderBy(tie)
+    return (df.join(r, by + [value])
+            .withColumn(out, F.col("_below") + F.row_number().over(same) - 1).drop("_below"))

@@ -162,12 +162,12 @@ def category_index(column: Column, vocab: Column) -> Column:
 
 def standardize(df: DataFrame, fit_on: DataFrame, columns: list[str], suffix: str = "_z") -> DataFrame:
     """(x - mean) / sample deviation with moments of ``fit_on``; constant columns use scale 1."""
-    stats = fit_on.agg(*[F.struct(F.coalesce(F.avg(c), F.lit(0.0)).alias("m"),
-                                  F.stddev_samp(c).alias("s")).alias(c) for c in columns])
+    stats = fit_on.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"m_{c}") for c in columns],
+                       *[F.stddev_samp(c).alias(f"s_{c}") for c in columns])
+    one = stats.select(F.struct(*stats.columns)).scalar()
     out = {}
     for c in columns:
-        st = stats.select(c).scalar()
-        sd = st["s"]
+        sd = F.col("_fit")[f"s_{c}"]
         scale = F.when(sd.isNull() | F.isnan(sd) | (F.abs(sd) <= 1e-8), F.lit(1.0)).otherwise(sd)
-        out[f"{c}{suffix}"] = (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - st["m"]) / scale
-    return df.withColumns(out)
+        out[f"{c}{suffix}"] = (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.col("_fit")[f"m_{c}"]) / scale
+    return df.withColumn("_fit", one).withColumns(out).drop("_fit")

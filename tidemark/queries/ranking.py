@@ -4,6 +4,7 @@ from pyspark.sql import Window, functions as F
 
 from ..constants import RAIL_TYPES
 from ..functions import request as R
+from ..operators.orderstats import ordinals
 from ..operators.ranking import ranked
 from ..operators.retrieval import top_k_dot
 from ..operators.windows import angle_parts, circular_concentration, circular_hour, ratio, trailing
@@ -333,8 +334,9 @@ FROM (SELECT DISTINCT viewer_id, session_id, rendered_ts, rendered_ts::DATE AS d
 def session_ordinal(spark, d):
     s = (I.impressions(spark, d).select("viewer_id", "session_id", "rendered_ts").distinct()
          .withColumn("day", F.to_date("rendered_ts")))
-    s = ranked(s, ["viewer_id", "day"], [F.col("rendered_ts"), F.col("session_id")], "n")
-    return s.select("viewer_id", "day", "session_id", (F.col("n") - 1).alias("session_seq"))
+    s = s.withColumn("at", F.unix_micros("rendered_ts"))
+    return (ordinals(s, ["viewer_id", "day"], "at", "session_id", "session_seq")
+            .select("viewer_id", "day", "session_id", "session_seq"))
 
 
 @query(with_("ev", "ti", "rails", "imp", "clock", "iclock", "aud", "rtm", "tf", "rf") + f"""SELECT rail_name, rail_type, editorial_rank,
