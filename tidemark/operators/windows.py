@@ -61,12 +61,26 @@ def rolling_days(facts: DataFrame, keys: list[str], day: str,
             .unionByName(facts.select(*keys, day, *measures, F.lit(False).alias("_grid")))
             .withColumn("_d", F.unix_date(day)))
     base = Window.partitionBy(*keys).orderBy("_d")
-    cols = []
+    since_start = lambda until: base.rangeBetween(Window.unboundedPreceding, until)
+    whole = {m for m in measures if facts.schema[m].dataType.typeName() in ("integer", "long", "short", "byte")}
+    parts, cols = {}, []
     for out, c, op, n in specs:
+        if op == "sum" and c in whole:
+            # Whole numbers: the window is a difference of two running totals, which Spark keeps
+            # up to date row by row, where a sliding frame would add up every window again.
+            parts[f"_{c}_0"] = F.sum(c).over(since_start(0))
+            total = F.coalesce(F.col(f"_{c}_0"), F.lit(0))
+            if n is not None:
+                parts[f"_{c}_{n}"] = F.sum(c).over(since_start(-n))
+                total = total - F.coalesce(F.col(f"_{c}_{n}"), F.lit(0))
+            cols.append(total.alias(out))
+            continue
         w = base.rangeBetween(Window.unboundedPreceding if n is None else -(n - 1), 0)
-        v = getattr(F, op)(c).over(w)
+        parts[f"_w_{out}"] = getattr(F, op)(c).over(w)
+        v = F.col(f"_w_{out}")
         cols.append((F.coalesce(v, F.lit(0)) if op == "sum" else v).alias(out))
-    return (rows.select(*keys, day, "_grid", *cols).where("_grid").drop("_grid"))
+    framed = rows.select(*keys, day, "_grid", *[v.alias(k) for k, v in parts.items()])
+    return framed.where("_grid").select(*keys, day, *cols)
 
 
 def angle_parts(hour: Column) -> tuple[Column, Column]:
