@@ -94,7 +94,7 @@ def declared_distinct_lists(spark, d):
     return t.withColumns({c: F.array_join(c, ",") for c in ("first_kinds", "last_kinds")})
 
 
-@query()
+@query(with_("ev") + f"SELECT viewer_id, ts, quantile_disc(watch_seconds, 0.5) AS p50, quantile_disc(watch_seconds, 0.9) AS p90 FROM ({ends(7 * DAY, DAY)}) GROUP BY 1,2")
 def declared_approx_percentile(spark, d):
     specs = [D.FeatureSpec("p50", "ApproxPercentile", "watch_seconds", VIEWER, 7 * DAY, DAY, q=0.5),
              D.FeatureSpec("p90", "PercentileApprox", "watch_seconds", VIEWER, 7 * DAY, DAY, q=0.9)]

@@ -20,7 +20,9 @@ def score_by_group(spark, d):
     return O.score_by_group(I.request_log(spark, d), I.titles(spark, d))
 
 
-@query()
+@query(with_("log") + """SELECT date_trunc('hour', request_time) AS hour_bucket, served_entity_id, count(*) AS requests, quantile_disc(execution_duration_ms, 0.5) AS p50_ms,
+  quantile_disc(execution_duration_ms, 0.95) AS p95_ms, quantile_disc(execution_duration_ms, 0.99) AS p99_ms,
+  round(100.0::DOUBLE*count(*) FILTER (status_code<>200)/count(*), 2) AS error_pct FROM log GROUP BY 1,2""")
 def serving_latency_hourly(spark, d):
     return O.serving_latency_hourly(I.request_log(spark, d))
 
