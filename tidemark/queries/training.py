@@ -96,9 +96,9 @@ def title_training_set(spark, d):
        + ", ".join(VIEWER_RAIL_FEATURES) +
        " FROM lab l ASOF LEFT JOIN vrf s ON l.viewer_id=s.viewer_id AND l.rail_id=s.rail_id AND l.label_ts>=s.ts")
 def pit_composite_lookup(spark, d):
-    imp = I.impressions(spark, d)
+    imp = materialize(I.impressions(spark, d), "impressions")
     lab = imp.select("session_id", "viewer_id", "rail_id", "rail_position", F.col("rendered_ts").alias("label_ts"))
-    return asof_join(lab, P.viewer_rail_features_ts(imp), ["viewer_id", "rail_id"], label_ts="label_ts",
+    return asof_join(lab, materialize(P.viewer_rail_features_ts(imp), "viewer_rail"), ["viewer_id", "rail_id"], label_ts="label_ts",
                      keep_ts="snapshot_ts", one_per_bucket=True)
 
 
@@ -106,10 +106,10 @@ def pit_composite_lookup(spark, d):
        + "SELECT session_id, l.viewer_id, l.rail_id, rail_position, label_ts, " + ", ".join(VIEWER_RAIL_FEATURES) +
        " FROM lab l ASOF LEFT JOIN vrf s ON l.viewer_id=s.viewer_id AND l.rail_id=s.rail_id AND l.label_ts>=s.ts")
 def pit_composite_from_change_points(spark, d):
-    imp = I.impressions(spark, d)
+    imp = materialize(I.impressions(spark, d), "impressions")
     lab = imp.select("session_id", "viewer_id", "rail_id", "rail_position", F.col("rendered_ts").alias("label_ts"))
-    return asof_join(lab, P.viewer_rail_features_ts(imp, dense=False), ["viewer_id", "rail_id"],
-                     label_ts="label_ts")
+    return asof_join(lab, materialize(P.viewer_rail_features_ts(imp, dense=False), "viewer_rail"), ["viewer_id", "rail_id"],
+                     label_ts="label_ts", one_per_bucket=True)
 
 
 def rail_tables(spark, d):
