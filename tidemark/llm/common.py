@@ -88,3 +88,26 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
             out = (out + words[i:i + len(out)]) * step
             out ^= out >> np.uint64(33)
         return mix64(out)
+
+
+def annotate(df: DataFrame, text: str, setup, added: list[tuple[str, str]], keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with columns computed in Python from whole texts.
+
+    ``setup()`` runs once a task and gives a function from a list of texts (None for null) to one
+    list or array per added (name, type). Added names replace columns that clash with them.
+    """
+    taken = {n.lower() for n, _ in added}
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
+    own = text if text in kept and dict(df.dtypes)[text] == "string" else "__text"
+    cols = [F.col(f"`{c}`") for c in kept] + ([] if own == text else [F.col(f"`{text}`").cast("string").alias(own)])
+    shown = df.select(*cols)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in shown.schema if f.name in kept]
+                       + [f"`{n}` {t}" for n, t in added])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = setup()
+        for part in runs(batches, own):
+            got = run(part.column(own).to_pylist())
+            arrays = [part.column(c) for c in kept] + [pa.array(g) if isinstance(g, list) else g for g in got]
+            yield pa.RecordBatch.from_arrays(arrays, names=kept + [n for n, _ in added])
+    return shown.mapInArrow(work, schema)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import runs
+from .common import annotate, runs
 
 #: N-grams per profile and per text.
 PROFILE = 300
@@ -138,28 +138,19 @@ def fit_profiles(train: DataFrame, text: str = "text", lang: str = "lang", size:
     return Profiles([(r.lang, r.gram, r["rank"] - 1) for r in top.collect()], size)
 
 
-def identify(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    """All columns of ``df`` with ``lang_pred`` and ``score`` added (columns of those names are replaced).
+def identify(df: DataFrame, profiles: Profiles, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """All columns of ``df`` (or those in ``keep``) with ``lang_pred`` and ``score`` added (columns of those names are replaced).
 
     ``score`` is one less the share of the largest possible displacement. Null, empty and
     letterless texts are ``und`` with score 0; equal distances take the smaller language name; equal
     n-gram counts rank by code point. Whole texts are read, whatever their length.
     """
-    kept = [c for c in df.columns if c not in ("lang_pred", "score")]
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in runs(batches, "__text"):
-            got = [profiles.predict(t) for t in part.column("__text").to_pylist()]
-            cols = {c: part.column(c) for c in part.schema.names if c != "__text"}
-            yield pa.RecordBatch.from_pydict({
-                **cols, "lang_pred": pa.array([g[0] for g in got], pa.string()),
-                "score": pa.array([g[1] for g in got], pa.float64())})
-
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema]
-                       + ["lang_pred string", "score double"])
-    return (df.select(*[F.col(f"`{c}`") for c in kept],
-                      F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-            .mapInArrow(predict, schema))
+    def setup():
+        def run(texts):
+            got = [profiles.predict(t) for t in texts]
+            return pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())
+        return run
+    return annotate(df, text, setup, [("lang_pred", "string"), ("score", "double")], keep)
 
 
 def accepted(min_score: float = 0.3) -> Column:

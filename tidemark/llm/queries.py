@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, mixing, sharding, topk
+from ..session import materialize
+from . import chat, decontaminate, langid, lattice, mixing, pseudonyms, sharding, topk, toxicity
 from .common import fold, raw, table
 
 QUERIES, ORACLES = {}, {}
@@ -19,6 +20,17 @@ def query(sql: str | None = None):
     return add
 
 
+#: The key of the pseudonyms; a deployment sets its own in this session setting.
+PII_KEY = "spark.tidemark.pii.key"
+
+
+@query()
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    key = spark.conf.get(PII_KEY, "tidemark").encode()
+    return pseudonyms.pseudonymize(docs, key, keep=["doc_id"]).select("doc_id", "text", "found")
+
+
 @query()
 def op2_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -40,6 +52,15 @@ def op3_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
+@query()
+def op4_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = fold(F.col("doc_id"), 4) == 2
+    model = toxicity.fit(docs, labels, ~out)
+    got = toxicity.score(docs.select("doc_id", "text", out.alias("held_out")), model, keep=["doc_id", "held_out"])
+    return got.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query("""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -58,6 +79,14 @@ def op5_uniform_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(v, F.col("vec_id") % 100 == 0, 10)
 
 
+@query()
+def op6_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return (lattice.score(docs, fold(F.col("doc_id"), 7) != 2)
+            .select(F.col("key").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                    "train_tokens", "base_score", "score", "lattice_score"))
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -89,7 +118,6 @@ FROM x""")
 def op7_min_cost_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
-    from ..session import materialize
     rows = materialize(rows, "mix-sizes")
     mixed = mixing.mix(rows.withColumnRenamed("size", "words"), F.array("source"), F.col("words"))
     sizes = {r.source: r.n for r in rows.groupBy("source").agg(F.sum("size").alias("n")).collect()}
@@ -134,3 +162,10 @@ def op9_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query()
+def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return (decontaminate.find_items(docs, items, keep=["doc_id"])
+            .select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*"))
