@@ -300,7 +300,8 @@ class _Join:
         self.members = rows.where("part is null").select("doc_id", "place", "n", "sig")
         # Equal sets are one node; the row that gives its text is the one with the smallest id.
         self.nodes = (rows.where("part is null and n > 0").groupBy("sig")
-                      .agg(F.min(F.struct("doc_id", "place")).alias("at"), F.first("n").alias("n"),
+                      .agg(F.min_by(F.struct("doc_id", "place"), F.struct(_known("doc_id"), "place")).alias("at"),
+                           F.first("n").alias("n"),
                            F.first("point").alias("point")))
         parts = (rows.where("part is not null").groupBy("part").applyInArrow(_add_sketches, "part int, counts binary")
                  .collect())
@@ -382,6 +383,24 @@ class _Join:
         return roots if edges is not None else spark.createDataFrame([], "sig long, root long")
 
 
+def _prepared(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(key).cast("long").alias("doc_id"), raw(F.col(text)).alias("text")).withColumn(
+        "place", F.xxhash64("text"))
+
+
+def _known(key: Column | str) -> Column:
+    """A null key sorts behind all others."""
+    return F.coalesce(key, F.lit(2 ** 63 - 1))
+
+
+def _least(join: _Join) -> DataFrame:
+    """Per set (sig): the smallest key of its component, and the row that stands for it."""
+    sets = join.nodes.select("sig", "at").join(join.run(), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    own = F.struct(_known("at.doc_id").alias("id"), F.col("at.place").alias("place"))
+    least = sets.groupBy("root").agg(F.min("at.doc_id").alias("component_id"), F.min(own).alias("first"))
+    return sets.select("sig", "root").join(least, "root")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``df``: key, n_shingles and component_id, the smallest key linked with it.
 
@@ -391,15 +410,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     null key is null again and counts for a component only if no other is in it. Repeated rows
     give a row each. An empty table gives no rows.
     """
-    docs = df.select(F.col(key).cast("long").alias("doc_id"), raw(F.col(text)).alias("text")).withColumn(
-        "place", F.xxhash64("text"))
-    join = _Join(docs)
-    roots = join.run()
-    # Per set: the smallest key of its component. Hot sets are joined on a narrow row, which Spark may split.
-    sets = join.nodes.select("sig", F.col("at.doc_id").alias("own")).join(roots, "sig", "left").withColumn(
-        "root", F.coalesce("root", "sig"))
-    least = sets.groupBy("root").agg(F.min("own").alias("component_id"))
-    of = sets.join(least, "root").select("sig", "component_id")
-    return (join.members.join(of, "sig", "left")
+    join = _Join(_prepared(df, key, text))
+    # Sets that many rows share are joined on a narrow row, which Spark may split.
+    return (join.members.join(_least(join).select("sig", "component_id"), "sig", "left")
             .select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` less all but one of each component of near duplicates.
+
+    The row with the smallest key stays, of equal keys the one with the smallest text hash, of equal
+    rows any. Rows without a word are in no component and all stay.
+    """
+    first = _least(_Join(_prepared(df, key, text))).select("first.id", "first.place").distinct()
+    names = {"id": "__id", "place": "__place"}
+    first = first.withColumnsRenamed(names)
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = df.where(worded).withColumns({"__id": _known(F.col(key).cast("long")), "__place": F.xxhash64(raw(F.col(text)))})
+    return (rows.join(first, ["__id", "__place"], "left_semi").dropDuplicates(["__id", "__place"]).select(*df.columns)
+            .unionByName(df.where(~worded)))

@@ -169,8 +169,8 @@ def take(mixed: DataFrame, text: str = "text") -> DataFrame:
     part = F.expr("if(size > 0, taken % size, 0)")
     whole = F.expr("if(size > 0, cast(taken div size as int), 0)")
     cut = F.array_join(F.slice(F.split(F.regexp_replace(text, f"^[{blank}]+", ""), f"(?<=[{blank}])(?=[{black}])"),
-                               1, F.greatest(part, F.lit(1)).cast("int")), "")
+                               1, F.greatest(F.col("__cut"), F.lit(1)).cast("int")), "")
     copies = mixed.select(*kept, F.explode(F.concat(
         F.array_repeat(F.lit(0).cast("long"), whole),
-        F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<long>")))).alias("__words"), "size", "taken")
-    return copies.withColumn(text, F.when(F.col("__words") > 0, cut).otherwise(F.col(text))).select(*kept)
+        F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<long>")))).alias("__cut"), "size", "taken")
+    return copies.withColumn(text, F.when(F.col("__cut") > 0, cut).otherwise(F.col(text))).select(*kept)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize
-from . import chat, decontaminate, langid, lattice, mixing, pseudonyms, sharding, topk, toxicity
+from . import chat, decontaminate, jaccard, langid, lattice, mixing, pseudonyms, sharding, topk, toxicity
 from .common import fold, raw, table
 
 QUERIES, ORACLES = {}, {}
@@ -128,6 +128,11 @@ def op7_min_cost_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken"))
 
 
+@query()
+def op8_count_vector_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
