@@ -28,6 +28,8 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 PIECES = "piece_bpe_32k.model"
 #: Bytes of text in one run of documents.
 RUN = 12 << 20
+#: Documents in one run; a place is two numbers of 16 bits, document and count.
+RUN_ROWS = 1 << 16
 SMOOTH = 0.1
 START = "▁"
 _LOADED: dict[str, object] = {}
@@ -92,7 +94,7 @@ _ROW = "run long, token binary, trained long, places binary"
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each distinct word of a run: training count and (document, count) pairs; and one
     row without a word that holds the run's documents."""
-    for part in runs(batches, "text", RUN):
+    for part in (b.slice(i, RUN_ROWS) for b in runs(batches, "text", RUN) for i in range(0, b.num_rows, RUN_ROWS)):
         vocabulary: dict[bytes, int] = {}
         number = itertools.count()
         ids, ends = [], []
@@ -107,10 +109,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends.append(len(words))
         docs = np.repeat(np.arange(len(ends)), ends)
         key, n = np.unique(np.concatenate(ids) * len(ends) + docs, return_counts=True)
-        word, doc = key // len(ends), (key % len(ends)).astype(np.uint32)
+        word, doc = key // len(ends), key % len(ends)
         train = np.array(part.column("train").to_pylist(), bool)
         trained = np.bincount(word, n * train[doc], len(vocabulary)).astype(np.int64)
-        pairs = np.column_stack([doc, n.astype(np.uint32)])
+        many = -(-n // 0xFFFF)  # a count that does not fit is given in parts
+        if many.max(initial=1) > 1:
+            last = n - (many - 1) * 0xFFFF
+            word, doc, n = (np.repeat(x, many) for x in (word, doc, np.full(len(n), 0xFFFF)))
+            n[np.cumsum(many) - 1] = last
+        pairs = np.column_stack([doc, n]).astype(np.uint16)
         cuts = np.searchsorted(word, np.arange(len(vocabulary) + 1))
         packed = pairs.tobytes()
         run = int(part.column("run")[0].as_py())
@@ -124,7 +131,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({
                 "run": pa.array(np.full(b - a, run)), "token": pa.array(tokens[a:b], pa.binary()),
                 "trained": pa.array(trained[a:b]),
-                "places": pa.array([packed[8 * x:8 * y] for x, y in zip(cuts[a:b], cuts[a + 1:b + 1])], pa.binary())})
+                "places": pa.array([packed[4 * x:4 * y] for x, y in zip(cuts[a:b], cuts[a + 1:b + 1])], pa.binary())})
 
 
 def _documents(part: pa.RecordBatch, words: list[int]) -> bytes:
@@ -144,14 +151,13 @@ def _finish(total: int, distinct: int, ends: int, end_score: float):
     base = math.log10(total + distinct + 1)
 
     def one(t: pa.Table) -> pa.Table:
-        token = t.column("token")
-        head = t.filter(pa.compute.is_null(token))
+        head = t.filter(t.column("head"))
         docs = pa.ipc.open_stream(head.column("places")[0].as_py()).read_all()
-        words = t.filter(pa.compute.is_valid(token))
+        words = t.filter(pa.compute.invert(t.column("head")))
         size = docs.num_rows
         c = words.column("count").to_numpy()
-        own = np.frombuffer(b"".join(words.column("places").to_pylist()), np.uint32).reshape(-1, 2)
-        per = np.array([len(x) // 8 for x in words.column("places").to_pylist()], np.int64)
+        own = np.frombuffer(b"".join(words.column("places").to_pylist()), np.uint16).reshape(-1, 2).astype(np.int64)
+        per = np.array([len(x) // 4 for x in words.column("places").to_pylist()], np.int64)
         doc, n = own[:, 0], own[:, 1]
         sum_ = lambda x: np.bincount(doc, np.repeat(x, per) * n, size)
         end = math.log10(ends + 1) - base
@@ -212,9 +218,10 @@ def score(df: DataFrame, train: Column, key: str = "doc_id", text: str = "text",
                 "score": pa.array([lattice.word(t) for t in part.column("token").to_pylist()], pa.float64())})
 
     weighed = counts.mapInArrow(weigh, "token binary, count long, score double")
-    back = (read.where("token is not null").join(weighed, "token").select("run", "token", "places", "count", "score")
+    back = (read.where("token is not null").join(weighed, "token")
+            .select("run", F.lit(False).alias("head"), "places", "count", "score")
             .unionByName(read.where("token is null").select(
-                "run", "token", "places", F.lit(0).cast("long").alias("count"), F.lit(0.0).alias("score"))))
+                "run", F.lit(True).alias("head"), "places", F.lit(0).cast("long").alias("count"), F.lit(0.0).alias("score"))))
     known = int(distinct) + (ends > 0)
     return back.groupBy("run").applyInArrow(
         _finish(int(total) + int(ends), known, int(ends), lattice.end),
