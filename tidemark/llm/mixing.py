@@ -154,7 +154,7 @@ def mix(df: DataFrame, sources: Column, size: Column, key: str = "doc_id", weigh
 def plan_inputs(base: DataFrame, weights: tuple[int, ...], share: float, most: int):
     """Words by pattern, and targets by source, of a frame with ``pattern`` and ``size``."""
     words = {_names(r.pattern): r.words
-             for r in base.groupBy("pattern").agg(F.sum("size").alias("words")).collect()}
+             for r in sorted(base.groupBy("pattern").agg(F.sum("size").alias("words")).collect())}
     sizes: dict[str | None, int] = {}
     for p, n in words.items():
         for s in p:

@@ -131,6 +131,8 @@ class Pseudonyms:
             area, office = divmod(x, 800)
             return _pour(text, digits[:-10] + f"{area + 200:03d}{office + 200:03d}{line:04d}")
         if kind == "phone":
+            if digits[0] == "1":  # country code 1 has the shape above
+                return self._replace("nanp", text) if len(digits) == 11 else None
             if not 8 <= len(digits) <= 15 or digits[0] == "0" or text.count("(") != text.count(")"):
                 return None
             rest = digits[2:]
