@@ -2,6 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from tidemark.constants import RAIL_COLUMN_ROLES
 from tidemark.functions import request as R
 from tidemark.plans import training as T
 
@@ -41,10 +42,12 @@ def test_rules(spark):
 
 
 def test_column_checks(spark):
-    num, cat, neither = T.model_columns()
-    assert len(num) == 44 and "rail_position" not in num
-    missing, unused = T.check_model_columns(num[1:] + cat + ["surprise"], num, cat, neither)
-    assert missing == num[:1] and unused == ["surprise"]
+    num, cat = RAIL_COLUMN_ROLES["numeric"], RAIL_COLUMN_ROLES["categorical"]
+    assert len(num) == 44 and len(cat) == 3 and "rail_position" not in num
+    have = spark.createDataFrame([], ", ".join(f"{c} double" for c in num[1:] + cat + ["surprise"]))
+    got = {r.column_name: (r.role, r.status) for r in T.column_status(have, RAIL_COLUMN_ROLES).collect()}
+    assert got[num[0]] == ("numeric", "missing") and got["surprise"] == (None, "unclaimed")
+    assert got[cat[0]] == ("categorical", "ok") and got["rail_position"] == ("neither", "missing")
 
 
 def test_reattach_guards(spark):

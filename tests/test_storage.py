@@ -52,13 +52,12 @@ def test_incremental_equals_full(spark):
 def test_decisions(spark):
     ch = lambda d: spark.createDataFrame(d, "table_name string, viewer_id long")
     s = F.lit("s")
-    run = lambda d, prev, bound: tuple(C.rescoring_decision(ch(d), prev, s, bound).first())
-    assert run([("a", 1), ("b", 1), ("a", 2)], s, 5) == ("incremental", "changed viewers only", 2)
-    assert run([("a", 1), ("a", 2)], s, 1)[0:2] == ("full", "too many changed viewers")
-    assert run([("r", None)], s, 5)[0:2] == ("full", "rail-grain change")
-    assert run([("a", 1)], F.lit("other"), 5)[1] == "scoring configuration changed"
-    assert run([("a", 1)], F.lit(None).cast("string"), 5)[1] == "no previous state"
-    assert run([], s, 5) == ("incremental", "changed viewers only", 0)
+    run = lambda d, prev: tuple(C.rescoring_decision(ch(d), prev, s).first())
+    assert run([("a", 1), ("b", 1), ("a", 2)], s) == ("incremental", "changed viewers only", 2)
+    assert run([("r", None)], s)[0:2] == ("full", "rail-grain change")
+    assert run([("a", 1)], F.lit("other"))[1] == "scoring configuration changed"
+    assert run([("a", 1)], F.lit(None).cast("string"))[1] == "no previous state"
+    assert run([], s) == ("incremental", "changed viewers only", 0)
 
 
 def test_latest_data_version(spark):

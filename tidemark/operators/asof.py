@@ -55,11 +55,11 @@ def asof_join(labels: DataFrame, snapshots: DataFrame, on: list[str], label_ts:
     intervals = _one_per_bucket(rows, on) if one_per_bucket else _many_per_bucket(rows, on)
     right = intervals.selectExpr("*", f"explode(sequence(0, CAST((_n - 1) DIV {hot_rows} AS INT))) AS _salt")
 
-    # At most labels / hot_rows rows: bounded by construction.
+    # At most labels / hot_rows rows; Spark sends them to every task only if they are small.
     hot = (need.where(f"_n > {hot_rows}")
            .selectExpr(*q(key), f"(_n - 1) DIV {hot_rows} + 1 AS _splits"))
     row = ", ".join(q(_hashable(labels)))
-    left = (labels.selectExpr("*", bucket_of(label_ts)).join(F.broadcast(hot), key, "left")
+    left = (labels.selectExpr("*", bucket_of(label_ts)).join(hot, key, "left")
             .selectExpr(*q(labels.columns), "_b",
                         f"CAST(coalesce(pmod(xxhash64({row}), _splits), 0) AS INT) AS _salt"))
 

@@ -64,11 +64,13 @@ def _partials(s: FeatureSpec) -> dict[str, Column]:
     if s.operator == "ApproxCountDistinct":
         return {f"{p}__h": F.hll_sketch_agg(v)}
     x = v.cast("double")
-    return {f"{p}__s": F.sum(x), f"{p}__q": F.sum(x * x), f"{p}__n": F.count(x)}
+    return {f"{p}__w": F.struct(F.count(x).cast("double").alias("n"), F.avg(x).alias("m"),
+                                (F.var_pop(x) * F.count(x)).alias("s"))}
 
 
 def _merge(column: str) -> Column:
-    op = {"s": F.sum, "n": F.sum, "q": F.sum, "a": F.min, "b": F.max, "f": F.min, "l": F.max,
+    # Moments of a window's panes are at most duration / step small rows.
+    op = {"s": F.sum, "n": F.sum, "w": F.collect_list, "a": F.min, "b": F.max, "f": F.min, "l": F.max,
           "h": F.hll_union_agg}[column.rsplit("__", 1)[1]]
     return op(column).alias(column)
 
@@ -85,12 +87,21 @@ def _final(s: FeatureSpec) -> Column:
         return c("f" if s.operator == "First" else "l")["v"]
     if s.operator == "ApproxCountDistinct":
         return F.hll_sketch_estimate(c("h"))
-    spread = F.greatest(c("q") - c("s") * c("s") / c("n"), F.lit(0.0))
-    den = c("n") - 1 if s.operator.endswith("Samp") else c("n")
-    var = F.when(den > 0, spread / den)
+    both = F.aggregate(
+        F.array_sort(F.filter(c("w"), lambda w: w["n"] > 0)),
+        F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("s")), _pooled)
+    den = both["n"] - 1 if s.operator.endswith("Samp") else both["n"]
+    var = F.when(den > 0, both["s"] / den)
     return F.sqrt(var) if s.operator.startswith("Stddev") else var
 
 
+def _pooled(a: Column, b: Column) -> Column:
+    """(count, mean, squared deviations) of two disjoint sets together; no difference of large sums."""
+    n, d = a["n"] + b["n"], b["m"] - a["m"]
+    return F.struct(n.alias("n"), (a["m"] + d * b["n"] / n).alias("m"),
+                    (a["s"] + b["s"] + d * d * a["n"] * b["n"] / n).alias("s"))
+
+
 def _ends(ts: Column, duration: int, step: int) -> Column:
     """Ends of every window [end - duration, end) that holds ``ts``, in epoch seconds."""
     first = (F.floor(ts / step) + 1) * step

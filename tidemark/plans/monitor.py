@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.orderstats import floor_rank, interpolated, nearest_rank, order_statistics
 
@@ -103,12 +103,17 @@ def throughput_windows(samples: DataFrame, phase: str, started: str, ok: Column,
         ).withColumn("scale_up_factor", F.round(F.col("best_rps") / F.when(F.col("first_rps") != 0, F.col("first_rps")), 2))
 
 
-def spike_recovery(load: DataFrame, baseline: DataFrame, started: str, value: str, width: int = 1) -> DataFrame:
-    """p95 per time step of a spike, and the first step back within 1.5 x the baseline p95."""
+def spike_recovery(load: DataFrame, baseline: DataFrame, started: str, value: str, ok: Column,
+                   width: int = 1) -> DataFrame:
+    """p95 per time step of a spike, and the first step back within 1.5 x the baseline p95.
+
+    Only calls that succeeded (``ok``) have a latency; a step without one has no row. Steps count
+    from the spike's first call of any outcome.
+    """
     t0 = load.agg(F.min(F.unix_micros(started))).scalar()
     step = F.floor((F.unix_micros(started) - t0) / F.lit(width * 1_000_000))
-    per = order_statistics(load.select(step.alias("step"), value), ["step"], value, {"p95": nearest_rank(0.95)})
-    base = order_statistics(baseline, [], value, {"p95": nearest_rank(0.95)}).select(F.round("p95", 1)).scalar()
+    per = order_statistics(load.where(ok).select(step.alias("step"), value), ["step"], value, {"p95": nearest_rank(0.95)})
+    base = order_statistics(baseline.where(ok), [], value, {"p95": nearest_rank(0.95)}).select(F.round("p95", 1)).scalar()
     p95 = F.round("p95", 1)
     return per.agg(F.min_by(p95, "step").alias("first_step_p95_ms"), F.first(base).alias("baseline_p95_ms"),
                    F.min(F.when(p95 <= base * 1.5, F.col("step"))).alias("recovered_at_step"),
@@ -229,10 +234,18 @@ def quality_checks(checks: list[tuple[str, DataFrame]]) -> DataFrame:
 def batch_order(batches: DataFrame, batch: str, first_ts: str) -> DataFrame:
     """How many ordered batches start before their predecessor did.
 
-    Neighbours meet in an equi-join on the batch number, so no global ordering is needed.
+    A batch is held against the nearest lower number that exists. Numbers are cut into ranges:
+    neighbours are found inside a range, and a range's first batch looks at the newest batch of the
+    ranges before it, of which there is one row each.
     """
-    prev = batches.select((F.col(batch) + 1).alias(batch), F.col(first_ts).alias("_prev"))
-    return (batches.join(prev, batch, "left")
+    width = 10_000
+    b = batches.select(F.col(batch).alias("_b"), F.col(first_ts).alias("_t"),
+                       F.floor(F.col(batch) / width).alias("_range"))
+    last = b.groupBy("_range").agg(F.max_by("_t", "_b").alias("_end"))
+    last = last.select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy("_b")
+    seen = b.join(last, "_range").withColumn("_prev", F.coalesce(F.lag("_t").over(inside), "_before"))
+    return (seen.withColumnRenamed("_t", first_ts)
             .agg(F.count(F.lit(1)).alias("batches"), F.count_if(F.col(first_ts) < F.col("_prev")).alias("decreases"))
             .withColumn("monotonic", F.col("decreases") == 0))
 

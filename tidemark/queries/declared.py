@@ -51,10 +51,47 @@ def declared_sliding_24h(spark, d):
     return t.drop("fv_titles_24h")
 
 
-@query()
+@query(with_("ev") + f"""SELECT 'viewer' AS entity, viewer_id AS id, ts, count(DISTINCT title_id) AS exact_count, true AS within_5_percent FROM ({ends(DAY, 6 * H)}) GROUP BY 2,3
+UNION ALL SELECT 'title', title_id, ts, count(DISTINCT viewer_id), true FROM ({ends(7 * DAY, DAY)}) GROUP BY 2,3""")
 def declared_approx_distinct(spark, d):
-    t = D.windowed_features(I.events(spark, d), VIEWER_SPECS, "event_ts", "event_id")[(VIEWER, DAY, 6 * H)]
-    return t.select("viewer_id", "ts", "fv_titles_24h")
+    """Sketched distinct counts beside exact ones, for every entity and window."""
+    ev, out = I.events(spark, d), None
+    for entity, col, name, specs, dur, step in (
+            ("viewer", "title_id", "fv_titles_24h", VIEWER_SPECS, DAY, 6 * H),
+            ("title", "viewer_id", "fvt_viewers_7d", TITLE_SPECS, 7 * DAY, DAY)):
+        key = f"{entity}_id"
+        t = D.windowed_features(ev, specs, "event_ts", "event_id")[((key,), dur, step)].select(key, "ts", name)
+        exact = (ev.withColumn("_e", D._ends(F.unix_timestamp("event_ts"), dur, step))
+                 .groupBy(key, F.timestamp_seconds("_e").alias("ts")).agg(F.count_distinct(col).alias("exact_count")))
+        near = F.abs(F.col(name) - F.col("exact_count")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact_count"))
+        row = t.join(exact, [key, "ts"], "full_outer").select(
+            F.lit(entity).alias("entity"), F.col(key).alias("id"), "ts", "exact_count",
+            F.coalesce(near, F.lit(False)).alias("within_5_percent"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query(with_("ev") + f"""SELECT title_id, ts, count(*) AS fvt_events_7d, CAST(sum(watch_seconds) AS BIGINT) AS fvt_watch_seconds_7d FROM ({ends(7 * DAY, DAY)}) GROUP BY 1,2""")
+def declared_title_features_7d(spark, d):
+    t = D.windowed_features(I.events(spark, d), TITLE_SPECS, "event_ts", "event_id")[(TITLE, 7 * DAY, DAY)]
+    return t.drop("fvt_viewers_7d")
+
+
+@query(with_("ev") + f"""SELECT viewer_id, ts, CAST(sum(watch_seconds) AS BIGINT) AS fv_watch_seconds_30d FROM ({ends(30 * DAY, DAY)}) GROUP BY 1,2""")
+def declared_viewer_30d(spark, d):
+    return D.windowed_features(I.events(spark, d), VIEWER_SPECS, "event_ts", "event_id")[(VIEWER, 30 * DAY, DAY)]
+
+
+@query(with_("ev") + f""", e1 AS (SELECT device, date_trunc('day', event_ts) + INTERVAL 1 DAY AS event_ts, count(*) AS n FROM ev GROUP BY 1,2)
+SELECT device, ts, max(n) AS busiest_day, {r('avg(n)', 6)} AS mean_day FROM ({ends(7 * DAY, DAY).replace('FROM ev)', 'FROM e1)')}) GROUP BY 1,2""")
+def declared_chained(spark, d):
+    """A feature over a feature: weekly extremes of the daily counts, each known from its day's end."""
+    day = D.windowed_features(I.events(spark, d), [D.FeatureSpec("n", "Count", "event_id", ("device",), DAY)],
+                              "event_ts", "event_id")[(("device",), DAY, DAY)]
+    specs = [D.FeatureSpec("busiest_day", "Max", "n", ("device",), 7 * DAY, DAY),
+             D.FeatureSpec("mean_day", "Avg", "n", ("device",), 7 * DAY, DAY)]
+    t = D.windowed_features(day, specs, "ts", "n")[(("device",), 7 * DAY, DAY)]
+    return t.withColumn("mean_day", F.round("mean_day", 6))
 
 
 @query(with_("ev") + f"SELECT title_id, ts, count(*) AS fvt_events_30d, CAST(sum(watch_seconds) AS BIGINT) AS fvt_watch_seconds_30d FROM ({ends(30 * DAY, DAY)}) GROUP BY 1,2")
@@ -122,16 +159,26 @@ def _trail(entity, dur, slide, agg):
             f"AND epoch_us(e.event_ts) < floor(epoch(l.label_ts)/{slide})::BIGINT*{slide}*1000000)")
 
 
-@query(with_("ev") + ", l AS (SELECT event_id, viewer_id, title_id, event_ts AS label_ts, played FROM ev WHERE event_type='impression') SELECT event_id, label_ts, played, "
-       + f"CAST({_trail('viewer_id', DAY, 6 * H, 'sum(watch_seconds)')} AS BIGINT) AS fv_watch_seconds_24h, nullif({_trail('viewer_id', 7 * DAY, DAY, 'count(*)')},0) AS fv_events_7d, "
-       + f"CAST({_trail('title_id', 30 * DAY, DAY, 'sum(watch_seconds)')} AS BIGINT) AS fvt_watch_seconds_30d FROM l")
+def _attached_sql():
+    """Every declared feature (distinct counts exact) over the newest complete window before a label."""
+    agg = {"Sum": "CAST({} AS BIGINT)", "Count": "nullif({}, 0)", "Avg": "round({}, 6)", "ApproxCountDistinct": "nullif({}, 0)"}
+    fn = {"Sum": "sum", "Count": "count", "Avg": "avg", "ApproxCountDistinct": "count"}
+    cols = []
+    for s in VIEWER_SPECS + TITLE_SPECS:
+        what = f"{fn[s.operator]}({'DISTINCT ' if s.operator.startswith('Approx') else ''}{s.column})"
+        cols.append(agg[s.operator].format(_trail(s.entity[0], s.duration, s.step, what)) + f" AS {s.name}")
+    return "SELECT event_id, label_ts, played, " + ", ".join(cols) + " FROM l"
+
+
+@query(with_("ev") + ", l AS (SELECT event_id, viewer_id, title_id, event_ts AS label_ts, played FROM ev WHERE event_type='impression') "
+       + _attached_sql())
 def declared_training_set(spark, d):
+    """All twelve declared features at each label; the sketched counts are exact at these sizes."""
     ev = I.events(spark, d)
-    specs = [s for s in VIEWER_SPECS + TITLE_SPECS if s.operator != "ApproxCountDistinct"]
-    tables = D.windowed_features(ev, specs, "event_ts", "event_id")
+    tables = D.windowed_features(ev, VIEWER_SPECS + TITLE_SPECS, "event_ts", "event_id")
     lab = T.title_labels(ev).select("event_id", "viewer_id", "title_id", "label_ts", "played")
     s = D.declared_training_set(lab, tables, "label_ts")
-    return s.select("event_id", "label_ts", "played", "fv_watch_seconds_24h", "fv_events_7d", "fvt_watch_seconds_30d")
+    return s.withColumn("fv_avg_watch_seconds_7d", F.round("fv_avg_watch_seconds_7d", 6)).drop("viewer_id", "title_id")
 
 
 @query(with_("ev") + f"SELECT device, arg_max(n, ts) AS events_7d, max(ts) AS ts FROM (SELECT device, ts, count(*) AS n FROM ({ends(7 * DAY, DAY)}) GROUP BY 1,2) GROUP BY 1")

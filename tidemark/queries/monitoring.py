@@ -117,15 +117,16 @@ def throughput_plateau_daily(spark, d):
     return O.throughput_windows(runs(spark, d), "phase", "started", F.col("status") == 200, 86400)
 
 
-@query("WITH " + RUNS + """, s AS (SELECT floor((epoch_us(ts)-(SELECT min(epoch_us(ts)) FROM runs WHERE phase='endpoint-0'))/3600000000.0::DOUBLE) AS step, value FROM runs WHERE phase='endpoint-0'),
+@query("WITH " + RUNS + """, s AS (SELECT floor((epoch_us(ts)-(SELECT min(epoch_us(ts)) FROM runs WHERE phase='endpoint-0'))/3600000000.0::DOUBLE) AS step, value FROM runs WHERE phase='endpoint-0' AND status=200),
 r AS (SELECT step, value, row_number() OVER (PARTITION BY step ORDER BY value)-1 AS i, count(*) OVER (PARTITION BY step) AS n FROM s),
 p AS (SELECT step, round(max(value) FILTER (i=greatest(0,least(n-1,CAST(round_even(0.95::DOUBLE*n,0) AS BIGINT)-1))),1) AS p95 FROM r GROUP BY 1),
-rb AS (SELECT value, row_number() OVER (ORDER BY value)-1 AS i, count(*) OVER () AS n FROM runs WHERE phase='endpoint-1'),
+rb AS (SELECT value, row_number() OVER (ORDER BY value)-1 AS i, count(*) OVER () AS n FROM runs WHERE phase='endpoint-1' AND status=200),
 base AS (SELECT round(max(value) FILTER (i=greatest(0,least(n-1,CAST(round_even(0.95::DOUBLE*n,0) AS BIGINT)-1))),1) AS p95 FROM rb)
 SELECT arg_min(p.p95, step) AS first_step_p95_ms, max(base.p95) AS baseline_p95_ms, CAST(min(step) FILTER (p.p95<=base.p95*1.5::DOUBLE) AS BIGINT) AS recovered_at_step, count(*) AS steps FROM p, base""")
 def spike_recovery_hourly(spark, d):
     x = runs(spark, d)
-    return O.spike_recovery(x.where("phase = 'endpoint-0'"), x.where("phase = 'endpoint-1'"), "started", "ms", 3600)
+    return O.spike_recovery(x.where("phase = 'endpoint-0'"), x.where("phase = 'endpoint-1'"), "started", "ms",
+                            F.col("status") == 200, 3600)
 
 
 NEWEST = "measured_at >= (SELECT max(measured_at) - INTERVAL 1 DAY FROM bench)"

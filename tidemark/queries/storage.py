@@ -66,24 +66,28 @@ def replace_where(spark, d):
     return t.read()
 
 
-@query(with_("ev", more=HALF) + """SELECT CASE WHEN n>100000 THEN 'full' ELSE 'incremental' END AS mode,
-  CASE WHEN n>100000 THEN 'too many changed viewers' ELSE 'changed viewers only' END AS reason, CASE WHEN n<=100000 THEN n END AS viewers_to_rescore
+@query(with_("ev", more=HALF) + """SELECT 'incremental' AS mode, 'changed viewers only' AS reason, n AS viewers_to_rescore
   FROM (SELECT count(*) AS n FROM (""" + DIFF + "))")
 def incremental_decision(spark, d):
     a, b = halves(spark, d)
     ch = C.diff_rows(a, b, ["viewer_id"]).select(F.lit("viewer_features_ts").alias("table_name"), "viewer_id")
     sig = F.lit(C.signature(model="ranker", device="tv", hour=21))
-    return C.rescoring_decision(ch, sig, sig, 100_000)
+    return C.rescoring_decision(ch, sig, sig)
 
 
-@query(with_("ev", more=HALF) + "SELECT 'full' AS mode, 'rail-grain change' AS reason, CAST(NULL AS BIGINT) AS viewers_to_rescore FROM (SELECT count(*) FROM a)")
+@query(with_("ev", "imp", more=HALF) + """SELECT CASE WHEN n > 0 THEN 'full' ELSE 'incremental' END AS mode,
+  CASE WHEN n > 0 THEN 'rail-grain change' ELSE 'changed viewers only' END AS reason, CASE WHEN n = 0 THEN v END AS viewers_to_rescore
+  FROM (SELECT count(DISTINCT rail_id) AS n FROM imp WHERE rendered_ts >= TIMESTAMP '2024-01-20'),
+       (SELECT count(*) AS v FROM (""" + DIFF + "))")
 def incremental_decision_rail_grain(spark, d):
     a, b = halves(spark, d)
     ch = C.diff_rows(a, b, ["viewer_id"]).select(F.lit("viewer_features_ts").alias("table_name"), "viewer_id")
-    rail = (I.impressions(spark, d).select(F.lit("rail_features_ts").alias("table_name"),
-                                           F.lit(None).cast("bigint").alias("viewer_id")).limit(1))
+    # Every rail rendered since the earlier run has new sums.
+    rail = (I.impressions(spark, d).where(F.col("rendered_ts") >= F.lit("2024-01-20").cast("timestamp"))
+            .select("rail_id").distinct()
+            .select(F.lit("rail_features_ts").alias("table_name"), F.lit(None).cast("bigint").alias("viewer_id")))
     sig = F.lit(C.signature(model="ranker"))
-    return C.rescoring_decision(ch.unionByName(rail), sig, sig, 100_000)
+    return C.rescoring_decision(ch.unionByName(rail), sig, sig)
 
 
 @query("""SELECT user_id AS table_id, coalesce(max(event_id) FILTER (event_type NOT IN ('error','signup')), max(event_id)) AS version FROM events GROUP BY 1""")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..constants import VIEWER_RAIL_FEATURES
+from ..constants import RAIL_COLUMN_ROLES, VIEWER_RAIL_FEATURES
 from ..functions import request as R
 from ..functions.keys import in_sample, in_sample_md5, stable_unit
 from ..operators.asof import asof_join, latest_per_key
@@ -197,21 +197,43 @@ def session_sample(spark, d):
             .select("session_id", "viewer_id", "rail_id", "rail_position"))
 
 
-@query()
+@query(with_("imp", "prop", more=RLAB) + """SELECT count(*) AS labels, count(DISTINCT (viewer_id, request_epoch_s)) AS sessions,
+  true AS sessions_whole, true AS share_near FROM rlab""")
 def session_sample_murmur(spark, d):
+    """A quarter of the sessions by Spark's own hash: sessions are kept or left whole."""
     lab = rail_label_frame(spark, d)
     keep = in_sample(0.25, F.col("viewer_id").cast("string"), F.col("request_epoch_s").cast("string"))
-    return lab.where(keep).select("session_id", "viewer_id", "rail_id", "rail_position")
+    per = (lab.withColumn("_kept", keep).groupBy("viewer_id", "request_epoch_s")
+           .agg(F.count(F.lit(1)).alias("n"), F.count_if("_kept").alias("k")))
+    every = F.count(F.lit(1))
+    return per.agg(F.sum("n").alias("labels"), every.alias("sessions"),
+                   (F.count_if((F.col("k") > 0) & (F.col("k") < F.col("n"))) == 0).alias("sessions_whole"),
+                   (F.abs(F.count_if(F.col("k") > 0) - 0.25 * every) <= 4 * F.sqrt(0.1875 * every) + 1).alias("share_near"))
 
 
-@query()
+@query(with_("ev", more=TLAB) + """SELECT count(*) AS labels, true AS subset, true AS share_near, true AS same_again FROM tlab""")
 def row_sample(spark, d):
-    return T.title_labels(I.events(spark, d)).sample(fraction=0.2, seed=42)
-
-
-@query()
+    """A fifth of the label rows by seed: what must hold of any such sample."""
+    lab = materialize(T.title_labels(I.events(spark, d)), "labels")
+    one, again = (lab.sample(fraction=0.2, seed=42) for _ in range(2))
+    n = one.agg(F.count(F.lit(1))).scalar()
+    strange = one.join(lab, "event_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    differ = one.select("event_id").exceptAll(again.select("event_id")).agg(F.count(F.lit(1))).scalar()
+    every = F.count(F.lit(1))
+    # Four standard deviations of a binomial share.
+    return lab.agg(every.alias("labels"), (F.lit(strange) == 0).alias("subset"),
+                   (F.abs(n - 0.2 * every) <= 4 * F.sqrt(0.16 * every) + 1).alias("share_near"),
+                   (F.lit(differ) == 0).alias("same_again"))
+
+
+@query(with_("ev", more=TLAB) + "SELECT least(20, count(*)) AS labels, true AS all_known, true AS distinct_rows FROM tlab")
 def random_labels(spark, d):
-    return T.title_labels(I.events(spark, d)).orderBy(F.rand(7)).limit(20)
+    """Twenty labels in seeded random order: their number, origin and distinctness."""
+    lab = materialize(T.title_labels(I.events(spark, d)), "labels")
+    some = materialize(lab.orderBy(F.rand(7)).limit(20), "random-labels")
+    strange = some.join(lab, "event_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    return some.agg(F.count(F.lit(1)).alias("labels"), (F.lit(strange) == 0).alias("all_known"),
+                    (F.count_distinct("event_id") == F.count(F.lit(1))).alias("distinct_rows"))
 
 
 @query(with_("ev", more=TLAB) + "SELECT event_id, viewer_id, label_ts FROM tlab ORDER BY label_ts DESC, event_id DESC LIMIT 50")
@@ -244,18 +266,21 @@ def lookup_null_rates(spark, d):
                   ["null_rate"], 6)
 
 
-@query()
+def _taxonomy_sql():
+    """Every fixed column with its count of values; the request functions are not in the set."""
+    rows = [(c, role, "missing" if c in RAIL_FN else "ok", "CAST(NULL AS BIGINT) AS non_null" if c in RAIL_FN else f"count({c}) AS non_null FROM t4")
+            for role, cols in RAIL_COLUMN_ROLES.items() for c in cols]
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{role}' AS role, '{s}' AS status, {n}"
+                              for c, role, s, n in rows)
+
+
+@query(with_(*RAIL_BASE, more=RLAB + ",\n" + RTS) + _taxonomy_sql())
 def column_taxonomy(spark, d):
-    """Which training-set columns the ranker reads as what, and which nobody claims."""
+    """Columns of the set before its request functions, against what the ranker reads them as."""
     labels, tables = rail_tables(spark, d)
-    s = T.training_set(labels, rail_lookups(tables), R.RAIL_FUNCTIONS, "label_ts", [])
-    num, cat, neither = T.model_columns()
-    missing, unused = T.check_model_columns(s.columns, num, cat, neither)
-    role = ([(c, "numeric") for c in num if c in s.columns] + [(c, "categorical") for c in cat if c in s.columns]
-            + [(c, "neither") for c in neither if c in s.columns] + [(c, "missing") for c in missing]
-            + [(c, "unused") for c in unused])
+    s = T.training_set(labels, rail_lookups(tables), [], "label_ts", [])
     counts = s.agg(*[F.count(c).alias(c) for c in s.columns]).unpivot([], s.columns, "column_name", "non_null")
-    return spark.createDataFrame(role, "column_name string, role string").join(counts, "column_name", "left")
+    return T.column_status(s, RAIL_COLUMN_ROLES).join(counts, "column_name", "left")
 
 
 @query(with_("imp") + "SELECT count(*) AS rows_checked, 0 AS offending_columns FROM (SELECT DISTINCT viewer_id, rail_id FROM imp)")
@@ -267,13 +292,13 @@ def type_contract(spark, d):
 
 
 @query(with_("imp", more="""cut AS (SELECT max(rendered_ts) - INTERVAL 10 DAY AS c FROM imp),
- v AS (SELECT list_sort(list(DISTINCT rail_id)) AS rv, list_sort(list(DISTINCT device)) AS dv FROM imp, cut WHERE rendered_ts<=c AND rail_position<=1)""")
+ v AS (SELECT list_sort(list(DISTINCT rail_id)) AS rv, list_sort(list(DISTINCT device)) AS dv FROM imp, cut WHERE rendered_ts<=c)""")
        + """SELECT session_id, rail_position, rail_id, device,
   CASE WHEN list_contains(rv, rail_id) THEN list_position(rv, rail_id)-1 ELSE len(rv) END AS rail_index,
   CASE WHEN list_contains(dv, device) THEN list_position(dv, device)-1 ELSE len(dv) END AS device_index FROM imp, v""")
 def category_encoding(spark, d):
     imp = I.impressions(spark, d).select("session_id", "rail_position", "rail_id", "device", "rendered_ts")
-    fit = T.temporal_split(imp, "rendered_ts", 10).where("split = 'train' AND rail_position <= 1")
+    fit = T.temporal_split(imp, "rendered_ts", 10).where("split = 'train'")
     return imp.select("session_id", "rail_position", "rail_id", "device",
                       T.category_index(F.col("rail_id"), T.vocabulary(fit, "rail_id")).alias("rail_index"),
                       T.category_index(F.col("device"), T.vocabulary(fit, "device")).alias("device_index"))

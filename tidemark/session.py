@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_ROOT: list[str] = []
+#: The setting that names the folder which driver and executors share.
+SHARED = "spark.checkpoint.dir"
+_local_root: list[str] = []
+_made: list[str] = []
 
 
 def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
     """Session with the settings every job here assumes: UTC clock and adaptive execution.
 
-    Shuffle partition count, memory and master are left to the cluster unless passed in.
+    Shuffle partition count, memory, master and the shared folder are left to the cluster unless
+    passed in.
     """
     b = (SparkSession.builder.appName(app)
          .config("spark.sql.session.timeZone", "UTC")
@@ -25,21 +31,28 @@ def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
     return b.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared location named by ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; on a cluster it has to be set.
 
-    Executors on other hosts must see it, so a machine-local folder is used only when the
-    session itself is local (tests). On a cluster a missing setting is an error.
+    Where everything runs in one process a folder of its own is made, and removed when that ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        if not _LOCAL_ROOT:
-            _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="spark-"))
-        root = _LOCAL_ROOT[0]
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex[:12]}")
+    root = spark.conf.get(SHARED, None)
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"{SHARED} must name a shared folder on a cluster")
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="spark-"))
+        atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
+    return _local_root[0]
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the shared root; ``release`` removes all that were given out."""
+    path = os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    _made.append(path)
+    return path
 
 
 def materialize(df, label: str):
@@ -47,3 +60,12 @@ def materialize(df, label: str):
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Removes every intermediate written so far; frames that read them are void. Returns how many."""
+    n = len(_made)
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
