@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import annotate, ascii_words, runs
 
@@ -121,8 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id",
     order = F.md5(F.col(key).cast("string").cast("binary"))
     known = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & train)
              .groupBy(key).agg(F.max(label).cast("int").alias("y")))
-    pick = (known.withColumn("__n", F.row_number().over(Window.partitionBy("y").orderBy(order, key)))
-            .where(F.col("__n") <= rows)
+    pick = (known.where("y = 1").orderBy(order, key).limit(rows)
+            .unionByName(known.where("y = 0").orderBy(order, key).limit(rows))
             .select(F.col(key).alias("__k"), "y", (F.conv(F.substring(order, 1, 8), 16, 10).cast("long") % 3).alias("part")))
     # At most 2 * rows narrow rows travel, so that texts need not.
     sample = docs.join(F.broadcast(pick), F.col(key) == F.col("__k")).select(
