@@ -73,14 +73,32 @@ class KeyedSink:
              .trigger(availableNow=True).foreachBatch(write).start())
         q.awaitTermination()
 
+    def rows(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/rows")
+
+    def visible(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/visible")
+
     def current(self) -> DataFrame:
-        rows = self.spark.read.parquet(f"{self.root}/rows")
-        return latest_per_key(rows, self.keys, "generation", tie=["batch"]).drop("batch")
+        return latest_per_key(self.rows(), self.keys, "generation", tie=["batch"]).drop("batch")
+
+    def compact(self) -> None:
+        """Rewrites what ``current`` shows as one row per key; to be run between drains.
+
+        The new folder takes the place of the old one only when it is complete.
+        """
+        rows = self.rows()
+        newest = rows.agg(F.max("generation")).first()[0]
+        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        new, old = f"{self.root}/compacted", f"{self.root}/rows"
+        self.current().write.mode("overwrite").parquet(f"{new}/generation={newest}/batch=-1")
+        fs = fs_path(old).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.delete(fs_path(old), True)
+        fs.rename(fs_path(new), fs_path(old))
 
     def freshness(self) -> DataFrame:
         """Event-to-visible delay percentiles over batches, in milliseconds."""
-        v = self.spark.read.parquet(f"{self.root}/visible")
-        lag = v.select((F.col("visible_epoch_ms") - F.col("newest_epoch_ms")).alias("lag_ms"))
+        lag = self.visible().select((F.col("visible_epoch_ms") - F.col("newest_epoch_ms")).alias("lag_ms"))
         return interpolated(lag, [], "lag_ms", {"p50_ms": 0.5, "p95_ms": 0.95})
 
 
