@@ -1,7 +1,8 @@
 """Table, merge and change-feed queries."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from ..constants import RAILS
 from ..plans import ranking as K
 from ..session import scratch_dir
 from ..sources import changes as C, inputs as I
@@ -56,10 +57,11 @@ def change_feed_since_version(spark, d):
 SELECT viewer_id, rail_id, rail_rank, CASE WHEN viewer_id IN (SELECT viewer_id FROM k) THEN 'v2' ELSE 'v1' END AS model_version
 FROM rk WHERE context = CASE WHEN viewer_id IN (SELECT viewer_id FROM k) THEN '21 mobile' ELSE '21 tv' END""")
 def replace_where(spark, d):
-    s = scored_pairs(spark, d, [("21 tv", "tv", 21), ("21 mobile", "mobile", 21)])
+    keys = I.events(spark, d).where("event_type = 'complete'").select("viewer_id").distinct()
+    s = scored_pairs(spark, d, [("21 tv", "tv", 21)]).unionByName(
+        scored_pairs(spark, d, [("21 mobile", "mobile", 21)], only=keys))
     one = lambda c, v: (K.rank_rails(s.where(F.col("context") == c))
                         .select("viewer_id", "rail_id", "rail_rank", F.lit(v).alias("model_version")))
-    keys = I.events(spark, d).where("event_type = 'complete'").select("viewer_id")
     t = VersionedTable(spark, scratch_dir(spark, "replace"))
     t.commit(one("21 tv", "v1"))
     t.replace(keys, one("21 mobile", "v2"), ["viewer_id"])
@@ -109,18 +111,49 @@ def schema_difference(spark, d):
     return C.schema_difference(li, new).where(alive.agg(F.count("one")).scalar() > 0)
 
 
-@query(with_("ev") + "SELECT count(*) AS rows_scored, 'incremental' AS mode, 'ranker' AS signature_model, '3' AS viewers_version FROM ev")
+_FORMULA = """(SELECT viewer_id, rail_id, row_number() OVER (PARTITION BY viewer_id ORDER BY (seconds % (17 + editorial_rank)) / events DESC, rail_id) AS rail_rank
+  FROM b, rails)"""
+
+
+def _ranked_by_features(spark, features):
+    """Every catalog rail of each viewer, ranked by a fixed formula over the viewer's features."""
+    catalog = F.array(*[F.struct(F.lit(x[0]).alias("rail_id"), F.lit(x[5]).alias("editorial_rank")) for x in RAILS])
+    s = features.select("viewer_id", "events", "seconds", F.explode(catalog).alias("r")).select(
+        "viewer_id", "r.rail_id", ((F.col("seconds") % (17 + F.col("r.editorial_rank"))) / F.col("events")).alias("score"))
+    w = Window.partitionBy("viewer_id").orderBy(F.desc("score"), "rail_id")
+    return s.select("viewer_id", "rail_id", F.row_number().over(w).alias("rail_rank"))
+
+
+def incremental_run(spark, d):
+    """A run over old features, then one that rescores only what changed; the table and both states."""
+    a, b = halves(spark, d)
+    t = VersionedTable(spark, scratch_dir(spark, "rescore"))
+    states = scratch_dir(spark, "state")
+    sig = C.signature(model="ranker", device="tv", hour=21)
+    none = spark.createDataFrame([], "table_name string, viewer_id bigint")
+    changed = C.diff_rows(a, b, ["viewer_id"]).select(F.lit("viewer_features_ts").alias("table_name"), "viewer_id")
+    previous = F.lit(None).cast("string")
+    for features, changes in ((a, none), (b, changed)):
+        score = lambda keys: _ranked_by_features(
+            spark, features if keys is None else features.join(keys, "viewer_id", "left_semi"))
+        state = C.rescore(t, changes, previous, sig, score)
+        write_table(state, states, "append")
+        previous = F.lit(sig)
+    return t, read_table(spark, states)
+
+
+@query(with_("ev", "rails", more=HALF) + "SELECT * FROM " + _FORMULA)
+def incremental_rescore(spark, d):
+    """Changed viewers rescored and patched in: the table equals a full run on the new features."""
+    return incremental_run(spark, d)[0].read()
+
+
+@query(with_("ev", "rails", more=HALF) + f"""SELECT 'full' AS mode, 'no previous state' AS reason, (SELECT count(*) FROM a, rails) AS rows_scored, 'ranker' AS signature_model
+UNION ALL SELECT 'incremental', 'changed viewers only', (SELECT count(*) FROM b JOIN ({DIFF}) c USING (viewer_id), rails), 'ranker'""")
 def run_state_json(spark, d):
-    n = I.events(spark, d).agg(F.count(F.lit(1)).alias("rows_scored"))
-    row = n.select(
-        F.to_json(F.struct(F.lit(3).alias("viewer_features_ts"), F.lit(7).alias("rail_features_ts"))).alias("table_versions"),
-        F.lit(C.signature(model="ranker", device="tv", hour=21)).alias("scoring_signature"),
-        F.lit("incremental").alias("mode"), "rows_scored")
-    path = scratch_dir(spark, "state")
-    write_table(row, path, "append")
-    s = read_table(spark, path, merge_schema=True)
-    return s.select("rows_scored", "mode", F.get_json_object("scoring_signature", "$.model").alias("signature_model"),
-                    F.get_json_object("table_versions", "$.viewer_features_ts").alias("viewers_version"))
+    """The state rows that the two runs left behind."""
+    return incremental_run(spark, d)[1].select(
+        "mode", "reason", "rows_scored", F.get_json_object("signature", "$.model").alias("signature_model"))
 
 
 @query(with_("ev") + "SELECT event_ts::DATE AS day, count(*) AS events, count(*) FILTER (event_type='skip') AS late_column FROM ev GROUP BY 1")
