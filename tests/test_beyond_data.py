@@ -93,3 +93,16 @@ def test_intermediates_are_released(spark):
     session._made[:] = [p for p in kept if p != path]
     with pytest.raises(Exception):
         spark.read.parquet(path)
+
+
+def test_rolling_totals_as_by_brute_force(spark):
+    rng = np.random.default_rng(5)
+    base = dt.datetime(2024, 1, 1)
+    data = [(int(k), i, base + dt.timedelta(minutes=int(m)), None if m % 17 == 0 else int(v)) for i, (k, m, v) in
+            enumerate(zip(rng.integers(0, 3, 300), rng.integers(0, 4000, 300), rng.integers(0, 50, 300)))]
+    data += [(9, 1000, base, 5), (9, 1001, base + dt.timedelta(hours=3), 7), (9, 1002, base + dt.timedelta(days=40), 1)]
+    ev = spark.createDataFrame(data, "k int, id int, ts timestamp, v bigint")
+    got = {r.id: r for r in D.rolling_totals(ev, ["k"], "v", "ts", "id", 3 * 3600).collect()}
+    for k, i, t, _ in data:
+        mine = [v for k2, _, t2, v in data if k2 == k and t - dt.timedelta(hours=3) < t2 <= t and v is not None]
+        assert (got[i].rolling_sum or 0, got[i].rolling_count) == (sum(mine), len(mine))

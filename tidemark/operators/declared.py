@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .asof import asof_join
 from .ranking import top_per_group
 
 ADDITIVE = {"Sum", "Count", "Avg", "Min", "Max", "First", "Last", "StddevSamp", "StddevPop",
@@ -178,29 +177,36 @@ def declared_training_set(labels: DataFrame, tables: dict[tuple, DataFrame], lab
 
 
 def rolling_totals(events: DataFrame, entity: list[str], value: str, ts: str, tie: str, duration: int,
-                   bucket: str = "day") -> DataFrame:
+                   bucket: str = "hour") -> DataFrame:
     """Trailing ``(t - duration, t]`` sum, count and average of ``value`` at each row.
 
-    Running totals are built from bucket totals plus totals inside the bucket, and the window
-    is the difference between the total at t and, by as-of join, at t - duration.
+    A window is the running total at t less that at t - duration. Both are read off one ordering
+    of the rows and of their shifted copies inside each (entity, bucket), plus the total of the
+    buckets before it, of which an entity has one small row each; so the work is linear in the rows.
     """
     from pyspark.sql import Window
     per = events.groupBy(*entity, ts).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    per = per.withColumn("_d", F.date_trunc(bucket, F.col(ts)))
-    by_day = per.groupBy(*entity, "_d").agg(F.sum("_s").alias("_ds"), F.sum("_n").alias("_dn"))
-    before = Window.partitionBy(*entity).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    by_day = by_day.select(*entity, "_d", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("_ds", "_dn")])
-    inside = Window.partitionBy(*entity, "_d").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    cum = (per.withColumns({"_cs": F.sum("_s").over(inside), "_cn": F.sum("_n").over(inside)})
-           .join(by_day, [*entity, "_d"])
-           .select(*entity, ts, (F.col("_cs") + F.col("_ds0")).alias("_ts"), (F.col("_cn") + F.col("_dn0")).alias("_tn")))
-    ask = cum.withColumn("_from", F.col(ts) - F.make_dt_interval(secs=F.lit(float(duration))))
-    past = cum.select(*entity, F.col(ts).alias("_at"), F.col("_ts").alias("_ps"), F.col("_tn").alias("_pn"))
-    j = asof_join(ask, past, entity, label_ts="_from", snapshot_ts="_at", bucket=bucket, probe=ask)
-    total = F.col("_ts") - F.coalesce("_ps", F.lit(0))
-    count = F.col("_tn") - F.coalesce("_pn", F.lit(0))
-    roll = j.select(*entity, ts, total.alias("rolling_sum"), count.alias("rolling_count"),
-                    (total / F.when(count != 0, count)).alias("rolling_avg"))
+    shifted = F.col(ts) - F.make_dt_interval(secs=F.lit(float(duration)))
+    # A row at exactly t - duration is outside the window, so it sorts before the shifted copy.
+    marks = F.explode(F.array(
+        F.struct(F.col(ts).alias("_at"), F.lit(0).alias("_back"), F.col("_s").alias("_s"), F.col("_n").alias("_n")),
+        F.struct(shifted.alias("_at"), F.lit(1).alias("_back"), (F.col("_s") * 0).alias("_s"), (F.col("_n") * 0).alias("_n"))))
+    rows = (per.select(*entity, ts, marks.alias("_m")).select(*entity, ts, "_m.*")
+            .withColumn("_b", F.date_trunc(bucket, F.col("_at"))))
+    by_bucket = rows.groupBy(*entity, "_b").agg(F.sum("_s").alias("_bs"), F.sum("_n").alias("_bn"))
+    before = Window.partitionBy(*entity).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    by_bucket = by_bucket.select(*entity, "_b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0")
+                                                  for c in ("_bs", "_bn")])
+    inside = Window.partitionBy(*entity, "_b").orderBy("_at", "_back").rowsBetween(Window.unboundedPreceding, 0)
+    total = (rows.withColumns({"_cs": F.sum("_s").over(inside), "_cn": F.sum("_n").over(inside)})
+             .join(by_bucket, [*entity, "_b"])
+             .select(*entity, ts, "_back", (F.coalesce("_cs", F.lit(0)) + F.col("_bs0")).alias("_ts"),
+                     (F.col("_cn") + F.col("_bn0")).alias("_tn")))
+    pick = lambda c, back: F.max(F.when(F.col("_back") == back, F.col(c)))
+    roll = total.groupBy(*entity, ts).agg((pick("_ts", 0) - pick("_ts", 1)).alias("rolling_sum"),
+                                          (pick("_tn", 0) - pick("_tn", 1)).alias("rolling_count"))
+    n = F.col("rolling_count")
+    roll = roll.withColumn("rolling_avg", F.col("rolling_sum") / F.when(n != 0, n))
     return events.select(*entity, ts, tie).join(roll, [*entity, ts])
 
 
