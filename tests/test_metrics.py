@@ -42,6 +42,17 @@ def test_ndcg_and_mrr(spark):
     assert rows(M.mrr(df, ["g"], "s", "r", "i"), "g", "mrr") == [("a", 0.5), ("b", 0.0)]
 
 
+def test_one_ordering_gives_the_same_report(spark):
+    df = spark.range(400).select((F.col("id") % 40).alias("g"), F.col("id").alias("i"),
+                                 (F.xxhash64("id") % 5).alias("s"), (F.xxhash64("id", F.lit(1)) % 3 == 0).cast("int").alias("r"))
+    got = {r.g: (r.ndcg3, r.ndcg5, r.mrr) for r in M.ranking_report(df, ["g"], "s", "r", "i", (3, 5)).collect()}
+    for k, at in ((3, 0), (5, 1)):
+        for g, v in rows(M.ndcg(df, ["g"], "s", "r", "i", k), "g", F.coalesce("ndcg", F.lit(-1.0)).alias("v")):
+            assert abs((got[g][at] if got[g][at] is not None else -1.0) - v) < 1e-12
+    for g, v in rows(M.mrr(df, ["g"], "s", "r", "i"), "g", "mrr"):
+        assert abs(got[g][2] - v) < 1e-12
+
+
 def test_gate_fails_on_undefined_correlation(spark):
     pairs = spark.createDataFrame([(1, "x", 1, 1)], "q int, i string, a int, b int")
     assert math.isnan(M.spearman_of_ranks(pairs, ["q"], "a", "b").first()["spearman"])

@@ -44,11 +44,9 @@ def scored_sessions(spark, d):
     sum(engaged/log2(rk+1)) FILTER (rk<=5)/sum(engaged/log2(ik+1)) FILTER (ik<=5) AS n5, 1.0::DOUBLE/min(rk) FILTER (engaged>0) AS m FROM o GROUP BY 1,2) GROUP BY 1""")
 def ndcg_mrr(spark, d):
     s, by = scored_sessions(spark, d), ["scorer", "session_id"]
-    j = (M.ndcg(s, by, "s", "engaged", "rail_id", 3).withColumnRenamed("ndcg", "n3")
-         .join(M.ndcg(s, by, "s", "engaged", "rail_id", 5).withColumnRenamed("ndcg", "n5"), by)
-         .join(M.mrr(s, by, "s", "engaged", "rail_id"), by))
-    return j.groupBy("scorer").agg(F.count(F.lit(1)).alias("sessions"), F.round(F.avg("n3"), 6).alias("ndcg3"),
-                                   F.round(F.avg("n5"), 6).alias("ndcg5"), F.round(F.avg("mrr"), 6).alias("mrr"))
+    j = M.ranking_report(s, by, "s", "engaged", "rail_id", (3, 5))
+    return j.groupBy("scorer").agg(F.count(F.lit(1)).alias("sessions"), F.round(F.avg("ndcg3"), 6).alias("ndcg3"),
+                                   F.round(F.avg("ndcg5"), 6).alias("ndcg5"), F.round(F.avg("mrr"), 6).alias("mrr"))
 
 
 AUC = """SELECT '{name}' AS scope, p AS positives, n-p AS negatives, {v} AS auc FROM (
@@ -62,9 +60,11 @@ _V = r("(rs - p*(p+1)/2.0::DOUBLE)/(p*(n-p)::DOUBLE)", 8)
        + AUC.format(name="tied", s="score_b", w="true", v=_V))
 def auc_rank_sum(spark, d):
     imp = I.impressions(spark, d)
-    one = lambda name, df, s: M.auc(df, s, "engaged").withColumn("scope", F.lit(name))
-    u = (one("all", imp, "score_a").unionByName(one("viewed", imp.where("was_viewport"), "score_a"))
-         .unionByName(one("tied", imp, "score_b")))
+    case = lambda scope, score: F.struct(scope.alias("scope"), F.col(score).cast("double").alias("s"))
+    rows = imp.select("engaged", F.explode(F.array(
+        case(F.lit("all"), "score_a"), case(F.when(F.col("was_viewport"), F.lit("viewed")), "score_a"),
+        case(F.lit("tied"), "score_b"))).alias("c")).select("engaged", "c.*").where("scope IS NOT NULL")
+    u = M.auc(rows, "s", "engaged", by=["scope"])
     return u.select("scope", "positives", "negatives", F.round("auc", 8).alias("auc"))
 
 
