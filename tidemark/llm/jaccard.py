@@ -9,8 +9,8 @@ Points meet through their rarest shingles: two sets of similarity T share one of
 (1 - T) n + 1 shingles in any common order. The order used is by rarity in a sketch of bounded size,
 so a passage that many documents share brings together only documents that consist of it. Equal
 sets are one node. A first round ties each node to one node of its blocks, so that large groups of
-near copies collapse without forming their pairs; the later rounds look, with the R-tree, only
-between nodes that are not connected yet, and the last of them verifies every pair the bound leaves.
+near copies collapse without forming their pairs; the second looks, with the R-tree, only between
+components that are not connected yet, until one link or none is found for each node and part.
 """
 
 from __future__ import annotations
@@ -216,44 +216,52 @@ def _verify(t: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
 
-def _between(best: int | None):
-    """Pairs of different components in each cell that the R-tree leaves; ``best`` keeps a node's
-    closest few in each other component."""
-    def task(t: pa.Table) -> pa.Table:
-        cols = {c: t.column(c).to_numpy() for c in ("key", "low", "high", "sig", "root", "n")}
-        raw_points = t.column("point").to_pylist()
-        order = np.lexsort((cols["sig"], cols["high"], cols["low"], cols["key"]))
-        cell = np.column_stack([cols[c][order] for c in ("key", "low", "high")])
-        cuts = np.flatnonzero(np.any(cell[1:] != cell[:-1], axis=1)) + 1 if len(cell) else []
-        found: set[tuple[int, int]] = set()
-        for rows in np.split(order, cuts):
-            sig, root, n = (cols[c][rows] for c in ("sig", "root", "n"))
-            if len(rows) < 2 or (root == root[0]).all():
-                continue
-            all_ = [_unpack(raw_points[r], cols["n"][r]) for r in rows.tolist()]
-            # Sizes far apart never link, so points of one tree are folded to its smallest only.
-            g = min(map(len, all_))
-            tree = RTree(np.array([folded(p, g) for p in all_]), n)
-            names, inverse, count = np.unique(root, return_inverse=True, return_counts=True)
-            most = int(count.argmax())
-            for i in np.flatnonzero(inverse != most).tolist():
-                near, bound = tree.near(folded(all_[i], g), int(n[i]))
-                other = root[near] != root[i]
-                near, bound = near[other], bound[other]
-                exact = []
-                for j in near.tolist():
-                    h = min(len(all_[i]), len(all_[j]))
-                    b = int(np.minimum(folded(all_[i], h), folded(all_[j], h)).sum())
-                    if OVER * b >= UNDER * (n[i] + n[j]):
-                        exact.append((-b / (n[i] + n[j]), int(sig[j]), int(root[j])))
-                taken: dict[int, int] = {}
-                for _, other_sig, comp in sorted(exact):
-                    if best is None or taken.get(comp, 0) < best:
-                        taken[comp] = taken.get(comp, 0) + 1
-                        found.add((int(sig[i]), other_sig))
-        return pa.table({"hub": pa.array([p[0] for p in found], pa.int64()),
-                         "sig": pa.array([p[1] for p in found], pa.int64())})
-    return task
+def _between(t: pa.Table) -> pa.Table:
+    """Nodes of a cell with the parts of other components that hold a point near theirs."""
+    cols = {c: t.column(c).to_numpy() for c in ("key", "low", "high", "sig", "root", "chunk", "n")}
+    packed = t.column("point").to_pylist()
+    order = np.lexsort((cols["sig"], cols["high"], cols["low"], cols["key"]))
+    cell = np.column_stack([cols[c][order] for c in ("key", "low", "high")])
+    cuts = np.flatnonzero(np.any(cell[1:] != cell[:-1], axis=1)) + 1 if len(cell) else []
+    found: set[tuple[int, int, int]] = set()
+    for rows in np.split(order, cuts):
+        sig, root, chunk, n = (cols[c][rows] for c in ("sig", "root", "chunk", "n"))
+        if len(rows) < 2 or (root == root[0]).all():
+            continue
+        points = [_unpack(packed[r], cols["n"][r]) for r in rows.tolist()]
+        g = min(map(len, points))
+        tree = RTree(np.array([folded(p, g) for p in points]), n)
+        _, inverse, count = np.unique(root, return_inverse=True, return_counts=True)
+        # Every pair between components has an end outside the largest.
+        for i in np.flatnonzero(inverse != count.argmax()).tolist():
+            near, _ = tree.near(folded(points[i], g), int(n[i]))
+            for j in near[root[near] != root[i]].tolist():
+                part = (int(sig[i]), int(root[j]), int(chunk[j]))
+                if part not in found:
+                    h = min(len(points[i]), len(points[j]))
+                    bound = int(np.minimum(folded(points[i], h), folded(points[j], h)).sum())
+                    if OVER * bound >= UNDER * int(n[i] + n[j]):
+                        found.add(part)
+    return pa.table({c: pa.array([p[k] for p in found], pa.int64()) for k, c in enumerate(("sig", "root", "chunk"))})
+
+
+def _search(t: pa.Table) -> pa.Table:
+    """A link, if there is one, from each asking node to the part of a component it is held against."""
+    hashes = WordHash()
+    sets = {s: shingle_set(x, hashes) for s, x in zip(t.column("sig").to_pylist(), t.column("text").to_pylist())}
+    asks = sorted({s for s, a in zip(t.column("sig").to_pylist(), t.column("asks").to_pylist()) if a})
+    part = sorted({s for s, a in zip(t.column("sig").to_pylist(), t.column("asks").to_pylist()) if not a})
+    found = []
+    if part:
+        g = min(dims(len(s)) for s in sets.values())
+        tree = RTree(np.array([folded(point(sets[x]), g) for x in part]), np.array([len(sets[x]) for x in part]))
+        for y in asks:
+            near, bound = tree.near(folded(point(sets[y]), g), len(sets[y]))
+            for j in near[np.argsort(-bound, kind="stable")].tolist():
+                if linked(sets[y], sets[part[j]]):
+                    found.append((y, part[j]))
+                    break
+    return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
 
 
 # --- joins -----------------------------------------------------------------------------------
@@ -308,7 +316,6 @@ class _Join:
         sketch = np.concatenate([np.frombuffer(r.counts, np.uint32) for r in sorted(parts)]) if parts else np.zeros(
             1 << BITS, np.uint32)
         self.blocks = materialize(self._blocks(sketch), "jaccard-blocks")
-        self.edges: DataFrame | None = None
 
     def _blocks(self, sketch: np.ndarray) -> DataFrame:
         """(key, salt, sig, hub) of shingles in the prefixes of two or more nodes."""
@@ -340,26 +347,41 @@ class _Join:
         bounded = few.join(node, "sig").join(hubs, "hub").mapInArrow(_bounded, "sig long, hub long, bound long")
         return bounded.groupBy("sig").agg(F.max_by("hub", F.struct("bound", -F.col("hub"))).alias("hub"))
 
-    def pairs_between(self, roots: DataFrame, best: int | None) -> DataFrame:
-        """Pairs of unconnected nodes that share a prefix shingle and that the R-tree leaves."""
-        rows = (self.blocks.select("key", "sig").join(roots, "sig", "left")
-                .withColumn("root", F.coalesce("root", "sig")))
-        keys = (rows.groupBy("key").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"),
-            F.bit_xor(F.xxhash64("sig")).alias("x"), F.bit_xor(F.xxhash64("sig", F.lit(1))).alias("y"))
-            .where("lo <> hi"))
+    def links_between(self, roots: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links between nodes that share a prefix shingle and are not connected yet.
+
+        Candidates are (node, part of another component), so that a node near a large component
+        makes one row for each part and not one for each member; each part looks for one link.
+        """
+        size = roots.groupBy("root").agg(F.count("*").alias("size"))
+        placed = materialize(
+            self.blocks.select("sig").distinct().join(roots.join(size, "root"), "sig", "left")
+            .select("sig", F.coalesce("root", "sig").alias("root"),
+                    F.pmod(F.xxhash64("sig"), F.coalesce(F.ceil(F.col("size") / GROUP), F.lit(1))).alias("chunk")),
+            "jaccard-placed")
+        rows = self.blocks.select("key", "sig").join(placed, "sig")
+        open_ = (rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+                 .select("key"))
+        rows = materialize(rows.join(open_, "key", "left_semi"), "jaccard-open")
         # Shingles with the same nodes are one block.
-        kept = keys.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select(
-            "key", F.ceil(F.col("m") / CELL).cast("int").alias("s"))
+        kept = (rows.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("sig")).alias("x"),
+                                        F.bit_xor(F.xxhash64("sig", F.lit(1))).alias("y"))
+                .groupBy("m", "x", "y").agg(F.min("key").alias("key"))
+                .select("key", F.ceil(F.col("m") / CELL).cast("int").alias("s")))
         cells = (rows.join(kept, "key").withColumn("i", F.pmod(F.xxhash64("sig", "key"), "s").cast("int"))
                  .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-                 .select("key", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"), "sig", "root"))
+                 .select("key", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"), "sig", "root", "chunk"))
         cells = materialize(cells, "jaccard-cells")
-        n = cells.count()
-        many = max(1, n // 4000)
-        return (cells.join(self.nodes.select("sig", "n", "point"), "sig")
-                .groupBy(F.pmod(F.xxhash64("key", "low", "high"), F.lit(many)).alias("g"))
-                .applyInArrow(_between(best), "hub long, sig long").distinct())
+        many = max(1, cells.count() // 4000)
+        near = materialize(cells.join(self.nodes.select("sig", "n", "point"), "sig")
+                           .groupBy(F.pmod(F.xxhash64("key", "low", "high"), F.lit(many)).alias("g"))
+                           .applyInArrow(_between, "sig long, root long, chunk long").distinct(), "jaccard-near")
+        of = ["root", "chunk"]
+        split = near.groupBy(*of).agg(F.ceil(F.count("*") / GROUP).alias("s"))
+        asks = near.join(split, of).select(*of, F.pmod(F.xxhash64("sig", F.lit(2)), "s").alias("g"), "sig")
+        part = asks.select(*of, "g").distinct().join(placed, of).select(*of, "g", "sig")
+        both = asks.withColumn("asks", F.lit(True)).unionByName(part.withColumn("asks", F.lit(False)))
+        return both.join(texts, "sig").groupBy(*of, "g").applyInArrow(_search, "a long, b long")
 
     def verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """Links found in groups of one hub and some of its partners."""
@@ -373,14 +395,10 @@ class _Join:
         texts = materialize(self.texts(), "jaccard-texts")
         edges = materialize(self.verified(self.first_pairs(), texts), "jaccard-links")
         roots = components(edges)
-        for best in (3, None):
-            pairs = materialize(self.pairs_between(roots, best), "jaccard-pairs")
-            if pairs.isEmpty():
-                break
-            edges = materialize(self.verified(pairs, texts).unionByName(
-                roots.select(F.col("sig").alias("a"), F.col("root").alias("b"))), "jaccard-links")
-            roots = components(edges)
-        return roots if edges is not None else spark.createDataFrame([], "sig long, root long")
+        more = materialize(self.links_between(roots, texts), "jaccard-links")
+        if more.isEmpty():
+            return roots
+        return components(more.unionByName(roots.select(F.col("sig").alias("a"), F.col("root").alias("b"))))
 
 
 def _prepared(df: DataFrame, key: str, text: str) -> DataFrame:
