@@ -99,6 +99,25 @@ def test_toxicity_of_awkward_rows(spark, toxic_rows):
     assert {r.score for r in toxicity.score(df, None).collect()} == {0.0}
 
 
+def test_toxicity_of_a_rarer_kind_with_many_spellings(spark, toxic_rows):
+    """A stem with many endings, in few toxic texts: no spelling has a share of them worth speaking of."""
+    rng = random.Random(6)
+    ends = [a + b for a in ("ra", "co", "ie", "ga", "do", "mi", "te") for b in ("ka", "lo", "si", "no", "vu", "pe")]
+    rows = [r for i in range(4) for r in [(1000 * i + r[0], *r[1:]) for r in toxic_rows]]
+    for i in range(60):
+        w = words(rng, 60).split()
+        for _ in range(5):
+            w.insert(rng.randrange(len(w)), "boment" + rng.choice(ends))
+        rows.append((10_000 + i, " ".join(w), "es", "s", 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = docs.select("doc_id", F.col("n_chars").cast("int").alias("toxic"))
+    held = F.expr("doc_id % 4 = 2")
+    got = toxicity.score(docs.where(held), toxicity.fit(docs, labels, ~held), keep=["doc_id", "lang", "n_chars"]).collect()
+    rare = [r for r in got if r.lang == "es"]
+    assert len(rare) == 15 and sum(r.score >= 0.3 for r in rare) >= 13
+    assert sum((r.score >= 0.3) == bool(r.n_chars) for r in got) >= 0.97 * len(got)
+
+
 # --- pseudonyms -------------------------------------------------------------------------------
 
 VALUES = ["4111 1111 1111 1111", "5500005555555559", "1990-02-28", "28.02.1990", "3/25/2001", "12/03/1990",

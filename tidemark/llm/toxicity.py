@@ -4,7 +4,10 @@ Two zstandard dictionaries are trained, one on windows typical of toxic texts an
 ordinary texts. A window is a word with its blanks. Its distance is how many bytes fewer it takes
 under the toxic dictionary; both dictionaries end with one fixed carrier, which precedes the window
 when it is compressed, so that even a short window pays off and its own bytes show. A document's
-score comes from the number of windows over a calibrated distance and the largest distance.
+score comes from the number of windows over each of several distances, the largest distance and the
+number of all windows. A word is typical of toxic texts by its parts: a run of a few bytes that is in
+more toxic texts, or in more words of them, than chance gives. So a stem with many endings counts as
+one, and no share of all toxic texts is asked, which a smaller language or a rarer kind never reaches.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,20 +26,28 @@ from .common import annotate, ascii_words, runs
 
 #: Labelled rows of each class that the fit reads at most, and windows a dictionary is trained on.
 FIT_ROWS, WINDOWS = 20_000, 20_000
-#: A window is typical of toxic texts from this share of them, and this many times the ordinary share.
-SHARE, RATIO = 0.03, 6
+#: Bytes of a part, and up to how many distinct words of one text with the same part are told apart.
+PART, REPEATS = 6, 4
+#: A part is typical from this likelihood ratio (chi-square, one degree): by chance once in a million parts.
+CHANCE = 24.0
+#: Bytes of a dictionary's segments; the fit trains a pair for each and keeps the one that calibrates best.
+SEGMENTS = (16, 32, 64)
+#: Distances at which the windows of a document are counted.
+LEVELS = (2, 3, 4, 5, 6)
+#: Entries of a counter that a fit task holds before it hands them on.
+HELD = 1_000_000
 SIZES, LEVEL = (4096, 16384), 3
 CARRIER = bytes([*range(1, 9), *range(14, 31)]) * 2
 REMEMBERED = 400_000
 
 
-def _compressor(windows: dict[bytes, int], size: int) -> bytes:
+def _compressor(windows: dict[bytes, int], size: int, segment: int) -> bytes:
     """A dictionary trained on the windows, as often as they occurred; too few windows stand as they are."""
     total = sum(windows.values()) or 1
     samples = [b" " + w + b" " for w, n in sorted(windows.items()) for _ in range(max(1, round(n * 60_000 / total)))]
     np.random.default_rng(1).shuffle(samples)
     try:
-        return zstandard.train_dictionary(size, samples, level=19).as_bytes() + CARRIER
+        return zstandard.train_dictionary(size, samples, k=segment, d=PART, level=19).as_bytes() + CARRIER
     except zstandard.ZstdError:
         best = sorted(windows, key=lambda w: (-windows[w], w))
         return (b" " + b" ".join(best))[:size] + b" " + CARRIER
@@ -72,21 +84,25 @@ class Distance(dict):
 
 
 class Model:
-    """Dictionaries, the calibrated distance, and the weights of a logistic score."""
+    """Dictionaries, the usual log length, and the weights of a logistic score."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, cut: int = 3, weights: tuple = (0.0, 0.0, 0.0)):
-        self.toxic, self.ordinary, self.cut, self.weights = toxic, ordinary, cut, weights
+    def __init__(self, toxic: bytes, ordinary: bytes, usual: float = 0.0, weights: tuple = (0.0,) * (len(LEVELS) + 3)):
+        self.toxic, self.ordinary, self.usual, self.weights = toxic, ordinary, usual, weights
 
     def distance(self) -> Distance:
         return Distance(self.toxic, self.ordinary)
 
-    def score(self, counts: float, largest: float) -> float:
-        a, b, c = self.weights
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * math.log1p(counts) + c * largest))))
+    def score(self, d: np.ndarray) -> float:
+        a, *b = self.weights
+        x = a + float(np.dot(b, _features(d, self.usual)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def _features(d: np.ndarray, cut: int) -> tuple[float, float]:
-    return float((d >= cut).sum()), float(min(12, max(0, d.max(initial=0) - cut + 1)))
+def _features(d: np.ndarray, usual: float) -> list[float]:
+    """Log counts of windows from each level on, the largest distance, log length; none for no window."""
+    if not len(d):
+        return [0.0] * (len(LEVELS) + 2)
+    return [*(math.log1p(int((d >= c).sum())) for c in LEVELS), float(min(12, max(0, d.max()))), math.log1p(len(d)) - usual]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -100,15 +116,70 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = (Counter(), Counter())
-    for part in runs(batches, "text"):
-        for t, y in zip(part.column("text").to_pylist(), part.column("y").to_pylist()):
-            seen[y].update(set(ascii_words(t)))
-    for y in (0, 1):
-        yield pa.RecordBatch.from_pydict({
-            "word": pa.array(list(seen[y]), pa.binary()), "y": pa.array([y] * len(seen[y]), pa.int32()),
-            "n": pa.array(list(seen[y].values()), pa.int64())})
+def _parts(word: bytes) -> frozenset[bytes]:
+    """Runs of ``PART`` bytes of a window; a shorter window is one."""
+    x = b" " + word + b" "
+    return frozenset(x[i:i + PART] for i in range(max(1, len(x) - PART + 1)))
+
+
+class _PartsOf(dict):
+    """The parts of a word, remembered for frequent words."""
+
+    def __missing__(self, word: bytes) -> frozenset[bytes]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        value = _parts(word)
+        if len(word) <= 64:
+            self[word] = value
+        return value
+
+
+def _part_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of each class a part is in at least 1, 2, ... distinct words."""
+    parts, seen = _PartsOf(), {(y, r): Counter() for y in (0, 1) for r in range(1, REPEATS + 1)}
+
+    def out():
+        for (y, r), c in seen.items():
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array(list(c), pa.binary()), "r": pa.array([r] * len(c), pa.int32()),
+                "y": pa.array([y] * len(c), pa.int32()), "n": pa.array(list(c.values()), pa.int64())})
+            c.clear()
+    for run in runs(batches, "text"):
+        for t, y in zip(run.column("text").to_pylist(), run.column("y").to_pylist()):
+            one = Counter(chain.from_iterable(map(parts.__getitem__, set(ascii_words(t)))))
+            for r in range(1, REPEATS + 1):
+                seen[y, r].update([p for p, n in one.items() if n >= r])
+            if sum(map(len, seen.values())) > HELD:
+                yield from out()
+    yield from out()
+
+
+def _evidence(t: Column, o: Column, nt: int, no: int) -> Column:
+    """Likelihood ratio of t of nt toxic and o of no ordinary texts against one common share; 0 if not in favour of toxic."""
+    share = (t + o) / (nt + no)
+    term = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
+    return F.when(t / nt > share, 2 * (term(t, share * nt) + term(nt - t, (1 - share) * nt)
+                                       + term(o, share * no) + term(no - o, (1 - share) * no))).otherwise(0.0)
+
+
+def _word_frequency(typical: frozenset[bytes]):
+    """In how many texts a word is: toxic texts for words with a typical part, ordinary texts for the others."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, seen = _PartsOf(), (Counter(), Counter())
+
+        def out():
+            for y, c in enumerate(seen):
+                yield pa.RecordBatch.from_pydict({
+                    "word": pa.array(list(c), pa.binary()), "y": pa.array([y] * len(c), pa.int32()),
+                    "n": pa.array(list(c.values()), pa.int64())})
+                c.clear()
+        for run in runs(batches, "text"):
+            for t, y in zip(run.column("text").to_pylist(), run.column("y").to_pylist()):
+                seen[y].update([w for w in set(ascii_words(t)) if typical.isdisjoint(parts[w]) == (y == 0)])
+                if len(seen[0]) + len(seen[1]) > HELD:
+                    yield from out()
+        yield from out()
+    return count
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id", text: str = "text",
@@ -130,39 +201,43 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id",
     n = {y: c for y, c in pick.where("part < 2").groupBy("y").count().collect()}
     if len(n) < 2:
         return None
-    freq = (sample.where("part < 2").select("text", "y").mapInArrow(_document_frequency, "word binary, y int, n long")
-            .groupBy("word").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("t"),
-                                 F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("o")))
-    typical = ((F.col("t") >= max(3.0, SHARE * n[1]))
-               & (F.col("t") / n[1] >= RATIO * (F.col("o") + 2) / n[0]))
-    best = freq.withColumn("typical", typical).where("typical or o >= 2")
-    top = lambda on, by: {bytes(r.word): r[by] for r in best.where(on).orderBy(F.desc(by), "word").limit(WINDOWS).collect()}
-    toxic, ordinary = top("typical", "t"), top("not typical", "o")
+    fitted = sample.where("part < 2").select("text", "y")
+    of = lambda y: F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0))
+    proof = (fitted.mapInArrow(_part_frequency, "part binary, r int, y int, n long")
+             .groupBy("part", "r").agg(of(1).alias("t"), of(0).alias("o"))
+             .withColumn("proof", _evidence(F.col("t"), F.col("o"), n[1], n[0])).where(F.col("proof") >= CHANCE)
+             .groupBy("part").agg(F.max("proof").alias("proof")))
+    typical = frozenset(bytes(r.part) for r in proof.orderBy(F.desc("proof"), "part").limit(WINDOWS).collect())
+    freq = (fitted.mapInArrow(_word_frequency(typical), "word binary, y int, n long")
+            .groupBy("y", "word").agg(F.sum("n").alias("n")))
+    top = lambda on: {bytes(r.word): r.n for r in freq.where(on).orderBy(F.desc("n"), "word").limit(WINDOWS).collect()}
+    toxic, ordinary = top("y = 1"), top("y = 0 and n >= 2")
     if not toxic:
         return None
-    model = Model(_compressor(toxic, SIZES[0]), _compressor(ordinary, SIZES[1]))
+    models = [Model(_compressor(toxic, SIZES[0], k), _compressor(ordinary, SIZES[1], k)) for k in SEGMENTS]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        far = model.distance()
+        far = [m.distance() for m in models]
         for part in runs(batches, "text"):
-            got = [far.of(t) for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({
-                "y": part.column("y"),
-                "most": pa.array([int(d.max(initial=0)) for d in got], pa.int32()),
-                "counts": pa.array([[int((d >= c).sum()) for c in range(1, 9)] for d in got], pa.list_(pa.int32()))})
+            got = [[v for f in far for v in _features(f.of(t), 0.0)] for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"y": part.column("y"), "x": pa.array(got, pa.list_(pa.float64()))})
 
-    seen = sample.where("part = 2").select("text", "y").mapInArrow(measure, "y int, most int, counts array<int>").collect()
+    seen = sample.where("part = 2").select("text", "y").mapInArrow(measure, "y int, x array<double>").collect()
     y = np.array([r.y for r in seen], float)
     if not len(y) or y.min() == y.max():
         return None
-    counts, most = np.array([r.counts for r in seen], float), np.array([r.most for r in seen], float)
-    # The cut with the best balanced accuracy of "any window over it"; ties take the cut nearest to 3.
-    hit = counts >= 1
-    good = [(hit[y == 1, i].mean() - hit[y == 0, i].mean(), i + 1) for i in range(counts.shape[1])]
-    model.cut = max(good, key=lambda x: (round(x[0], 6), -abs(x[1] - 3)))[1]
-    x = np.column_stack([np.log1p(counts[:, model.cut - 1]), np.clip(most - model.cut + 1, 0, 12)])
-    model.weights = tuple(float(w) for w in _logistic(x, y))
-    return model
+    best = None
+    for model, x in zip(models, np.split(np.array([r.x for r in seen], float), len(models), axis=1)):
+        some = x[:, -1] > 0
+        model.usual = float(x[some, -1].mean()) if some.any() else 0.0
+        x[some, -1] -= model.usual
+        w = _logistic(x, y)
+        model.weights = tuple(float(v) for v in w)
+        z = np.clip(w[0] + x @ w[1:], -30, 30) * (2 * y - 1)
+        loss = round(float(np.log1p(np.exp(-z)).mean()), 6)
+        if best is None or loss < best[0]:
+            best = loss, model
+    return best[1]
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -177,7 +252,6 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", keep: list[s
         def run(texts):
             if not model:
                 return (pa.array([0.0] * len(texts), pa.float64()),)
-            return (pa.array([model.score(*_features(far.of((t or "").encode()), model.cut)) for t in texts],
-                             pa.float64()),)
+            return (pa.array([model.score(far.of((t or "").encode())) for t in texts], pa.float64()),)
         return run
     return annotate(docs, text, setup, [("score", "double")], keep)
