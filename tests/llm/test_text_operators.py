@@ -144,6 +144,22 @@ def test_what_does_not_validate_stays(text):
     assert Pseudonyms(b"key").apply(text) == (text, [])
 
 
+BESIDE = [("4111111111111111 12/27", ["4111111111111111"]), ("4111 1111 1111 1111 123", ["4111 1111 1111 1111"]),
+          ("12 4111111111111111", ["4111111111111111"]), ("+49 30 901820 2024-05-06", ["+49 30 901820", "2024-05-06"]),
+          ("+1 (017) 555-7713", ["+1 (017) 555-7713"]), ("+1 229 055-7713", ["+1 229 055-7713"]),
+          ("2024-05-06T10:11", ["2024-05-06"]), ("127.0.0.1", ["127.0.0.1"]),
+          ("4111111111111111 5500005555555559", ["4111111111111111", "5500005555555559"])]
+
+
+@pytest.mark.parametrize("value,parts", BESIDE)
+def test_values_beside_other_numbers_are_found_and_undone(value, parts):
+    for key in [b"%d" % i for i in range(40)]:
+        new, found = Pseudonyms(key).apply(f"left {value} right")
+        assert [value[f["start"] - 5:f["start"] - 5 + f["length"]] for f in found] == parts
+        assert not any(p in new for p in parts)
+        assert Pseudonyms(key, True).apply(new)[0] == f"left {value} right"
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 100, 257])
 def test_feistel_is_a_permutation(size):
     f = pseudonyms.Feistel(b"k")

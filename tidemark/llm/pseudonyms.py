@@ -25,13 +25,14 @@ LOWER, UPPER, DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _DIGITS = re.compile(r"[+(]?\d")
 _NUMBER = re.compile(r"""
    (?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?![\w]|\.\d)
- | (?P<ymd>\d{4}(?P<s1>[-/.])\d{1,2}(?P=s1)\d{1,2})(?!\w|[-/.]\d)
- | (?P<dmy>\d{1,2}(?P<s2>[-/.])\d{1,2}(?P=s2)\d{4})(?!\w|[-/.]\d)
+ | (?P<ymd>\d{4}(?P<s1>[-/.])\d{1,2}(?P=s1)\d{1,2})(?:(?=T\d)|(?!\w|[-/.]\d))
+ | (?P<dmy>\d{1,2}(?P<s2>[-/.])\d{1,2}(?P=s2)\d{4})(?:(?=T\d)|(?!\w|[-/.]\d))
  | (?P<ssn>\d{3}-\d{2}-\d{4})(?![\w]|-\d)
  | (?P<nanp>(?:\+1[ .-]?)?\(?[2-9]\d\d\)?[ .-]\d{3}[ .-]\d{4})(?![\w]|-\d)
- | (?P<phone>\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5})(?!\w)
- | (?P<card>\d(?:[ -]?\d){12,18})(?![\w]|-\d)
-""", re.X | re.A)
+ | (?P<phone>\+\d{1,3}(?:(?!DATE)[ .-]?\(?\d{1,4}\)?){2,5})(?!\w)
+""".replace("DATE", r"[ ](?:\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{4})(?!\d)"), re.X | re.A)
+#: Groups of digits among which card numbers are looked for; it ends before a date or a social security number.
+_GROUPS = re.compile(r"\d+(?:[ -](?!\d{4}-\d{1,2}-\d{1,2}(?!\d)|\d{1,2}-\d{1,2}-\d{4}(?!\d)|\d{3}-\d{2}-\d{4}(?!\d))\d+(?!\w))*(?!\w)", re.A)
 _EMAIL = re.compile(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}", re.A)
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b", re.A)
 _KEYED = re.compile(r"""\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b["']?\s*[=:]\s*["']?([A-Za-z0-9_\-+/]{8,})""",
@@ -104,13 +105,13 @@ class Pseudonyms:
         digits = "".join(c for c in text if c.isdigit())
         if kind == "ip":
             parts = [int(x) for x in text.split(".")]
-            good = lambda p: max(p) < 256 and 1 <= p[0] <= 223 and p[0] != 127
-            if not good(parts) or any(len(x) > 1 and x[0] == "0" for x in text.split(".")):
+            usual = lambda p: 1 <= p[0] <= 223 and p[0] != 127
+            if max(parts) > 255 or any(len(x) > 1 and x[0] == "0" for x in text.split(".")):
                 return None
             x = int.from_bytes(bytes(parts), "big")
             while True:
                 x = self._turn(x, 1 << 32, "ip")
-                if good(list(x.to_bytes(4, "big"))):
+                if usual(x.to_bytes(4, "big")) == usual(parts):  # the others are a class of their own
                     return ".".join(map(str, x.to_bytes(4, "big")))
         if kind in ("ymd", "dmy"):
             return self._date(kind, text)
@@ -124,8 +125,16 @@ class Pseudonyms:
             return f"{a + 1 + (a >= 665):03d}-{b + 1:02d}-{c + 1:04d}"
         if kind == "nanp":
             own = digits[-10:]
-            if own[0] < "2" or own[3] < "2" or len(digits) == 11 and digits[0] != "1" or text.count("(") != text.count(")"):
+            if len(digits) == 11 and digits[0] != "1" or text.count("(") != text.count(")"):
                 return None
+            strict = lambda d: d[0] > "1" and d[3] > "1"
+            if not strict(own):
+                if len(digits) == 10 or own[0] == "1":
+                    return None
+                while True:  # country code 1 outside the plan's ranges is a class of its own
+                    own = f"{self._turn(int(own), 10 ** 10, 'odd1'):010d}"
+                    if not strict(own) and own[0] != "1":
+                        return _pour(text, "1" + own)
             x = self._turn(((int(own[:3]) - 200) * 800 + int(own[3:6]) - 200) * 10_000 + int(own[6:]), 6_400_000_000, "nanp")
             x, line = divmod(x, 10_000)
             area, office = divmod(x, 800)
@@ -183,17 +192,50 @@ class Pseudonyms:
             return sep.join(new_parts)
         return sep.join([new_parts[1], new_parts[2], new_parts[0]] if swapped else [new_parts[2], new_parts[1], new_parts[0]])
 
+    def _cards(self, text: str) -> list[tuple[int, int, str]]:
+        """(start, end, new) of the card numbers among groups of digits.
+
+        All are permuted together until the new digits show the same places, so that it can be undone;
+        only where another grouping passes by chance does a number get another pseudonym than elsewhere.
+        """
+        if sum(c.isdigit() for c in text) < 13:
+            return []
+        edges = [m.span() for m in re.finditer(r"\d+", text, re.A)]
+
+        def valid(t: str) -> bool:
+            d = "".join(c for c in t if c.isdigit())
+            return 13 <= len(d) <= 19 and d[0] in "23456" and luhn(d) % 10 == 0
+
+        def places(t: str) -> list[tuple[int, int]]:
+            held = [e for e in edges if valid(t[e[0]:e[1]])]
+            for i in range(len(edges)):
+                for j in range(min(len(edges), i + 19) - 1, i, -1):
+                    a, b = edges[i][0], edges[j][1]
+                    if valid(t[a:b]) and not any(a < y and x < b for x, y in held):
+                        held.append((a, b))
+                        break
+            return sorted(held)
+        got, new = places(text), text
+        while got:
+            out = list(new)
+            for a, b in got:
+                out[a:b] = self.known("card", new[a:b])
+            new = "".join(out)
+            if places(new) == got:
+                break
+        return [(a, b, new[a:b]) for a, b in got]
+
     def _spans(self, text: str):
-        """(start, end, kind) of candidates; where two overlap the first kind listed here stands."""
+        """(start, end, kind, replacement if known) of candidates; where two overlap the first kind listed here stands."""
         if "@" in text:
             for m in _EMAIL.finditer(text):
-                yield m.start(), m.end(), "email"
+                yield m.start(), m.end(), "email", None
         if "AKIA" in text:
             for m in _ACCESS.finditer(text):
-                yield m.start(), m.end(), "access"
+                yield m.start(), m.end(), "access", None
         if "=" in text or ":" in text:
             for m in _KEYED.finditer(text):
-                yield m.start(1), m.end(1), "secret"
+                yield m.start(1), m.end(1), "secret", None
         at = 0
         while m := _DIGITS.search(text, at):
             start = m.start()
@@ -202,23 +244,34 @@ class Pseudonyms:
                 while at < len(text) and text[at].isdigit():
                     at += 1
                 continue
-            if n := _NUMBER.match(text, start):
-                yield start, n.end(), n.lastgroup if n.lastgroup not in ("s1", "s2") else ("ymd" if n["ymd"] else "dmy")
-                at = n.end()
+            n = _NUMBER.match(text, start)
+            kind = n and (n.lastgroup if n.lastgroup not in ("s1", "s2") else "ymd" if n["ymd"] else "dmy")
+            # A candidate that does not validate may have taken in too much: its last groups go one by one.
+            end = n.end() if n else start
+            while end > start and self.known(kind, text[start:end]) is None:
+                cut = re.search(r"[ .-]\(?\d+\)?$", text[start:end], re.A) if kind == "phone" else None
+                end = start + cut.start() if cut else start
+            if end > start:
+                yield start, end, kind, None
+                at = end
+            elif (g := _GROUPS.match(text, start)) and (found := self._cards(g[0])):
+                for a, b, new in found:
+                    yield start + a, start + b, "card", new
+                at = start + found[-1][1]
             else:
                 while at < len(text) and text[at].isdigit():
                     at += 1
         for m in _IBAN.finditer(text):
-            yield m.start(), m.end(), "iban"
+            yield m.start(), m.end(), "iban", None
 
     def apply(self, text: str | None) -> tuple[str | None, list[dict]]:
         """The text with pseudonyms, and where in the original each value stood."""
         if not text:
             return text, []
         out, found, held = [], [], []
-        for start, end, kind in self._spans(text):
+        for start, end, kind, new in self._spans(text):
             if not any(start < b and a < end for a, b, _, _ in held):
-                new = self.known(kind, text[start:end])
+                new = self.known(kind, text[start:end]) if new is None else new
                 if new is not None:
                     held.append((start, end, kind, new))
         at = 0
