@@ -34,10 +34,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources at their target weights; a document taken twice has two rows."""
+    """The mix of sources near their target weights, of whole documents; a document taken twice has two rows."""
     sized = docs.withColumn("__words", mixing.word_count(F.col("text")))
     got = mixing.mix(sized, F.array("source"), F.col("__words"))
-    return mixing.take(got).select(*docs.columns)
+    return mixing.take_whole(got).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

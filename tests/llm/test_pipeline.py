@@ -1,13 +1,16 @@
 """The pipeline's stages against what they promise, and the registered queries' shapes."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from tidemark.llm import jaccard, queries
+from tidemark.llm import jaccard, mixing, queries
 from tidemark.llm.common import WordHash
 
-from cases import frame
+from cases import frame, words
 from test_text_operators import brute_items
 
 
@@ -49,6 +52,23 @@ def test_awkward_rows_go_through_all_stages(spark, sf):
     assert empty.count() == 0
 
 
+def test_the_mix_holds_whole_documents_near_the_targets(spark, sf):
+    rows = [(i, words(random.Random(i), 3 + i % 40), "en", "abc"[i % 3], 1) for i in range(300)]
+    rows.append((999, words(random.Random(9), 3000), "en", "d", 1))
+    docs = frame(spark, rows)
+    got = pipeline.mixed(spark, docs, sf).collect()
+    text = {r[0]: r[1] for r in rows}
+    assert got and all(r.text == text[r.doc_id] for r in got)
+    assert max(Counter(r.doc_id for r in got).values()) <= 2
+    sizes, taken = Counter(), Counter()
+    for r in rows:
+        sizes[r[3]] += len(r[1].split())
+    for r in got:
+        taken[r.source] += len(r.text.split())
+    want = mixing.targets(sizes, (3, 1, 2), 1.5, 2)
+    assert all(abs(taken[s] - want[s]) <= (1500 if s == "d" else 42) for s in want)
+
+
 def test_every_operator_has_its_query():
     assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
 

@@ -174,3 +174,15 @@ def take(mixed: DataFrame, text: str = "text") -> DataFrame:
         F.array_repeat(F.lit(0).cast("long"), whole),
         F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<long>")))).alias("__cut"), "size", "taken")
     return copies.withColumn(text, F.when(F.col("__cut") > 0, cut).otherwise(F.col(text))).select(*kept)
+
+
+def take_whole(mixed: DataFrame) -> DataFrame:
+    """The mix itself, of whole documents: every row as often as it is used.
+
+    A last partial use counts as a whole one from half the document's words on, and else as none, so
+    the words of a source differ from its target by at most half a document for each end of a use.
+    The number of uses never exceeds that of ``mix``'s ``most``. No text is cut.
+    """
+    kept = [c for c in mixed.columns if c not in ("size", "taken", "given")]
+    times = F.expr("if(size > 0, cast((2 * taken + size) div (2 * size) as int), 0)")
+    return mixed.select(*[F.col(f"`{c}`") for c in kept], F.explode(F.array_repeat(F.lit(0), times)).alias("__use")).drop("__use")
