@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, jaccard, langid, mixing, sharding
-from tidemark.llm.common import fold, table
+from tidemark.llm.common import table
 from tidemark.session import materialize
 
 SHARDS = 16
@@ -17,7 +17,7 @@ SHARDS = 16
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a language that the profiles know; letterless and alien texts go."""
-    profiles = langid.fit_profiles(docs.where(fold(F.col("doc_id"), 5) != 0))
+    profiles = langid.fit_profiles(docs)
     named = langid.identify(docs.withColumn("__lang", F.col("lang")), profiles)
     return named.where(langid.accepted()).select(*docs.columns)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from tidemark.llm import jaccard, mixing, queries
-from tidemark.llm.common import WordHash
+from tidemark.llm.common import WordHash, fold
 
 from cases import frame, words
 from test_text_operators import brute_items
@@ -52,6 +52,14 @@ def test_awkward_rows_go_through_all_stages(spark, sf):
     assert empty.count() == 0
 
 
+def test_a_language_whose_documents_fall_in_one_fold_has_a_profile(spark, sf):
+    few = [r.id for r in spark.range(300, 400).where(fold(F.col("id"), 5) == 0).collect()][:6]
+    rows = [(i, words(random.Random(i), 60), "en", "a", 1) for i in range(20)]
+    rows += [(i, words(random.Random(i), 60, ("xyq", "wzx", "qyw")), "zz", "a", 1) for i in few]
+    kept = {r.doc_id for r in pipeline.language(spark, frame(spark, rows), sf).collect()}
+    assert kept == {r[0] for r in rows}
+
+
 def test_the_mix_holds_whole_documents_near_the_targets(spark, sf):
     rows = [(i, words(random.Random(i), 3 + i % 40), "en", "abc"[i % 3], 1) for i in range(300)]
     rows.append((999, words(random.Random(9), 3000), "en", "d", 1))
