@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize
-from . import chat, decontaminate, jaccard, langid, lattice, mixing, pseudonyms, sharding, topk, toxicity
+from . import (chat, decontaminate, jaccard, langid, lattice, lexical, mixing, negatives, packing, pseudonyms, sharding,
+               topk, toxicity)
 from .common import fold, raw, table
 
 QUERIES, ORACLES = {}, {}
@@ -174,3 +175,64 @@ def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return (decontaminate.find_items(docs, items, keep=["doc_id"])
             .select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*"))
+
+
+@query(r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+d AS (SELECT doc_id, terms, len(terms) AS n FROM t WHERE len(terms) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM d),
+i AS (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT item_id, min(text) AS text FROM benchmark GROUP BY item_id)) GROUP BY ALL),
+p AS (
+  SELECT doc_id, 75 + (25 * n * docs) // len AS m, term, count(*) AS tf
+  FROM (SELECT doc_id, n, row_number() OVER () AS k, unnest(terms) AS term FROM d), s GROUP BY k, doc_id, n, docs, len, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, s GROUP BY term, docs),
+c AS (
+  SELECT item_id, doc_id, m, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM i JOIN w USING (term) JOIN p USING (term) GROUP BY item_id, doc_id, m),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20""")
+def op11_accumulator_limited_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+@query("""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+         CAST(list_sum(list_transform(range(1, len(v.e) + 1), lambda i: a.e[i] * v.e[i])) AS BIGINT) AS score
+  FROM v a JOIN v ON v.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+  WHERE p.k <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""")
+def op12_segment_summary_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    v = table(spark, sf_dir, "embeddings").select(
+        "vec_id", topk.quantized(F.col("embedding"), 256).alias("vector"),
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return negatives.mine(v, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op13_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_texts(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
