@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+from bisect import bisect
 from functools import lru_cache
 
 import pyarrow as pa
@@ -31,9 +32,11 @@ _NUMBER = re.compile(r"""
  | (?P<nanp>(?:\+1[ .-]?)?\(?[2-9]\d\d\)?[ .-]\d{3}[ .-]\d{4})(?![\w]|-\d)
  | (?P<phone>\+\d{1,3}(?:(?!DATE)[ .-]?\(?\d{1,4}\)?){2,5})(?!\w)
 """.replace("DATE", r"[ ](?:\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{4})(?!\d)"), re.X | re.A)
-#: Groups of digits among which card numbers are looked for; it ends before a date or a social security number.
-_GROUPS = re.compile(r"\d+(?:[ -](?!\d{4}-\d{1,2}-\d{1,2}(?!\d)|\d{1,2}-\d{1,2}-\d{4}(?!\d)|\d{3}-\d{2}-\d{4}(?!\d))\d+(?!\w))*(?!\w)", re.A)
-_EMAIL = re.compile(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}", re.A)
+#: Shapes of card numbers, from the shortest on. None holds another one but at its own beginning; a last group that
+#: begins a date or another hyphenated number is none, and the longest shape ends a row of groups.
+_CARDS = [re.compile(r"\d{%s}(?!\w|-\d\d?-\d%s)" % (r"}[ -]\d{".join(groups), r"|[ -]\d" if len(groups) == 5 else ""), re.A)
+          for groups in (("13,19",), ("4", "4", "5"), ("4", "6", "4"), ("4", "6", "5"), ("4",) * 4, ("4", "4", "4", "4", "3"))]
+_EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}", re.A)
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b", re.A)
 _KEYED = re.compile(r"""\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b["']?\s*[=:]\s*["']?([A-Za-z0-9_\-+/]{8,})""",
                     re.I | re.A)
@@ -70,6 +73,11 @@ def luhn(digits: str) -> int:
     return sum(odd[0::2]) + sum(sum(divmod(2 * d, 10)) for d in odd[1::2])
 
 
+def _is_card(text: str) -> bool:
+    d = "".join(c for c in text if c.isdigit())
+    return 13 <= len(d) <= 19 and d[0] in "23456" and luhn(d) % 10 == 0
+
+
 def _pour(shape: str, chars: str) -> str:
     """``chars`` written over the ASCII letters and digits of ``shape``."""
     it = iter(chars)
@@ -147,7 +155,7 @@ class Pseudonyms:
             rest = digits[2:]
             return _pour(text, digits[:2] + f"{self._turn(int(rest), 10 ** len(rest), 'phone%d' % len(rest)):0{len(rest)}d}")
         if kind == "card":
-            if luhn(digits) % 10 or digits[0] not in "23456" or not 13 <= len(digits) <= 19:
+            if not _is_card(digits):
                 return None
             n = len(digits) - 2
             body = digits[0] + f"{self._turn(int(digits[1:-1]), 10 ** n, 'card%d' % n):0{n}d}"
@@ -192,38 +200,26 @@ class Pseudonyms:
             return sep.join(new_parts)
         return sep.join([new_parts[1], new_parts[2], new_parts[0]] if swapped else [new_parts[2], new_parts[1], new_parts[0]])
 
-    def _cards(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, end, new) of the card numbers among groups of digits.
+    def _card(self, text: str, start: int, failed: list[tuple[int, int]]) -> tuple[int, str] | None:
+        """(end, new) of the card number that begins at ``start``; spans that are none join ``failed``.
 
-        All are permuted together until the new digits show the same places, so that it can be undone;
-        only where another grouping passes by chance does a number get another pseudonym than elsewhere.
+        The shapes of a card are tried from the shortest on. A pseudonym is walked on until neither a
+        shorter shape of the number nor a failed span that reaches into it has become valid, so the
+        same numbers are found in the new text, whatever else stands there.
         """
-        if sum(c.isdigit() for c in text) < 13:
-            return []
-        edges = [m.span() for m in re.finditer(r"\d+", text, re.A)]
-
-        def valid(t: str) -> bool:
-            d = "".join(c for c in t if c.isdigit())
-            return 13 <= len(d) <= 19 and d[0] in "23456" and luhn(d) % 10 == 0
-
-        def places(t: str) -> list[tuple[int, int]]:
-            held = [e for e in edges if valid(t[e[0]:e[1]])]
-            for i in range(len(edges)):
-                for j in range(min(len(edges), i + 19) - 1, i, -1):
-                    a, b = edges[i][0], edges[j][1]
-                    if valid(t[a:b]) and not any(a < y and x < b for x, y in held):
-                        held.append((a, b))
-                        break
-            return sorted(held)
-        got, new = places(text), text
-        while got:
-            out = list(new)
-            for a, b in got:
-                out[a:b] = self.known("card", new[a:b])
-            new = "".join(out)
-            if places(new) == got:
-                break
-        return [(a, b, new[a:b]) for a, b in got]
+        for shape in _CARDS:
+            m = shape.match(text, start)
+            if not m:
+                continue
+            end, new = m.end(), self.known("card", m[0])
+            if new is None:
+                failed.append((start, end))
+                continue
+            reach = [(a, b) for a, b in failed if b > start]
+            while any(_is_card(text[a:start] + new[:b - start]) for a, b in reach):
+                new = self.known("card", new)
+            return end, new
+        return None
 
     def _spans(self, text: str):
         """(start, end, kind, replacement if known) of candidates; where two overlap the first kind listed here stands."""
@@ -236,7 +232,11 @@ class Pseudonyms:
         if "=" in text or ":" in text:
             for m in _KEYED.finditer(text):
                 yield m.start(1), m.end(1), "secret", None
-        at = 0
+        for m in _IBAN.finditer(text):
+            if self.known("iban", m[0]) is not None:
+                yield m.start(), m.end(), "iban", None
+                text = text[:m.start()] + "_" * len(m[0]) + text[m.end():]
+        at, failed = 0, []
         while m := _DIGITS.search(text, at):
             start = m.start()
             at = m.end()
@@ -244,6 +244,7 @@ class Pseudonyms:
                 while at < len(text) and text[at].isdigit():
                     at += 1
                 continue
+            failed = [f for f in failed[-8:] if f[1] > start]
             n = _NUMBER.match(text, start)
             kind = n and (n.lastgroup if n.lastgroup not in ("s1", "s2") else "ymd" if n["ymd"] else "dmy")
             # A candidate that does not validate may have taken in too much: its last groups go one by one.
@@ -254,28 +255,26 @@ class Pseudonyms:
             if end > start:
                 yield start, end, kind, None
                 at = end
-            elif (g := _GROUPS.match(text, start)) and (found := self._cards(g[0])):
-                for a, b, new in found:
-                    yield start + a, start + b, "card", new
-                at = start + found[-1][1]
+            elif card := self._card(text, start, failed):
+                at = card[0]
+                yield start, at, "card", card[1]
             else:
                 while at < len(text) and text[at].isdigit():
                     at += 1
-        for m in _IBAN.finditer(text):
-            yield m.start(), m.end(), "iban", None
 
     def apply(self, text: str | None) -> tuple[str | None, list[dict]]:
         """The text with pseudonyms, and where in the original each value stood."""
         if not text:
             return text, []
-        out, found, held = [], [], []
+        out, found, held = [], [], []  # ``held`` is sorted, and no two in it overlap
         for start, end, kind, new in self._spans(text):
-            if not any(start < b and a < end for a, b, _, _ in held):
+            i = bisect(held, (start,))
+            if (not i or held[i - 1][1] <= start) and (i == len(held) or held[i][0] >= end):
                 new = self.known(kind, text[start:end]) if new is None else new
                 if new is not None:
-                    held.append((start, end, kind, new))
+                    held.insert(i, (start, end, kind, new))
         at = 0
-        for start, end, kind, new in sorted(held):
+        for start, end, kind, new in held:
             out += [text[at:start], new]
             found.append({"kind": "date" if kind in ("ymd", "dmy") else "phone" if kind == "nanp" else kind,
                           "start": start, "length": end - start})
