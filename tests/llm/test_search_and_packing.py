@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,11 +247,20 @@ def test_long_texts_are_tokenized_as_a_whole(monkeypatch):
     tok = packing._tokenizer(packing.TOKENIZER)
     want = tok.encode(text, add_special_tokens=False).ids
     assert [i for p in cut for i in tok.encode(p, add_special_tokens=False).ids] == want
+    assert packing._encoder(packing.TOKENIZER).encode_to_numpy(text, allowed_special="all").tolist() == want
     monkeypatch.setattr(packing, "PART", 50)
     assert packing.encode(["", text, "a"])[1].tolist() == want + [1]
     assert packing.encode([""])[0].tolist() == [1] and packing.encode([]) == []
 
 
+def test_ids_are_the_tokenizers_own(sf):
+    texts = [t or "" for t in pq.read_table(f"{sf}/documents.parquet", columns=["text"]).column(0).to_pylist()]
+    texts += ["<|endoftext|>", "a<|endoftext|><|endoftext|> b", "x" * 5000, " " * 500_000 + "a", "\r\n \t x", "\u0000\u00ad\u200b\ufeff", "𝔘 🙂👍🏽"]
+    tok = packing._tokenizer(packing.TOKENIZER)
+    want = [e.ids + [1] for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in packing.encode(texts)] == want
+
+
 def test_conversations_pack_whole_under_a_loss_limit(spark):
     rng = random.Random(4)
     rows = [(c, t, ("user", "assistant")[t % 2], words(rng, rng.randint(0, 120))) for c in range(80) for t in range(rng.randint(1, 6))]
