@@ -86,6 +86,27 @@ def test_toxicity_of_held_out_texts(spark, toxic_rows):
     assert all((r.score >= 0.3) == bool(r.n_chars) for r in held)
 
 
+def test_the_strongest_training_words_have_a_distance(spark):
+    """Short words too: each is nearer to the toxic dictionary than to either ordinary one."""
+    rng, bad = random.Random(12), ["idjit", "scumm", "krud", "lozer", "stoopidly", "pathetick", "klown"]
+    rows = []
+    for i in range(400):
+        w = words(rng, 50).split()
+        if i % 4 == 0:
+            for b in rng.sample(bad, 2):
+                w.insert(rng.randrange(len(w)), b)
+        rows.append((i, " ".join(w), "en", "s", int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = toxicity.fit(docs, docs.select("doc_id", F.col("n_chars").cast("int").alias("toxic")), F.lit(True))
+    toxic, ordinary = (Counter(w for r in rows if r[4] == y for w in set(r[1].split())) for y in (1, 0))
+    strongest = sorted(toxic, key=lambda w: ordinary[w] - 3 * toxic[w])[:len(bad)]
+    assert set(strongest) == set(bad)
+    d = model.distance().of(" ".join(bad).encode())
+    assert (d >= 2).all()
+    usual = model.distance().of(" ".join(r[1] for r in rows if not r[4]).encode())
+    assert (usual >= 2).mean() < 0.1
+
+
 def test_toxicity_of_awkward_rows(spark, toxic_rows):
     docs = spark.createDataFrame(toxic_rows, SCHEMA)
     labels = docs.select("doc_id", F.col("n_chars").cast("int").alias("toxic"))
