@@ -31,7 +31,7 @@ FIT_ROWS = 8_000
 #: How many times as frequent in toxic texts a window is that may enter the toxic dictionary.
 RATIO = 10
 #: Bytes of the toxic dictionary, and of the ordinary ones, against each of which distances are taken.
-TOXIC, ORDINARY = 4096, (8192, 65536)
+TOXIC, ORDINARY = 8192, (8192, 65536)
 #: (dictionary bytes, segment bytes) by which the halves confirm each other; what any of them keeps stays.
 ROUNDS, CONFIRMED_BY = 3, ((1024, 12), (2048, 12), (2048, 16))
 #: Bytes that a dictionary has to save for a window to be confirmed.
