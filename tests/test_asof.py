@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.operators.asof import asof_by_rank, asof_join, latest_per_key, snapshot_in_force
+from tidemark.operators.asof import asof_by_rank, asof_join, asof_join_many, latest_per_key, snapshot_in_force
+from tidemark.plans.training import Lookup, training_set
 
 T0 = dt.datetime(2024, 1, 10, 12)
 US = dt.timedelta(microseconds=1)
@@ -59,6 +60,54 @@ def test_hot_key_is_split_and_exact(spark):
     assert asof_join(lab, sn, ["k"], bucket="hour", hot_rows=9).exceptAll(a).count() == 0
 
 
+def daily(spark, name, step, shift):
+    """One snapshot a key and day, on some days only."""
+    return spark.range(200).select(
+        F.concat(F.lit("k"), (F.col("id") % 7).cast("string")).alias("k"),
+        F.timestamp_seconds(1704067200 + F.floor(F.col("id") / 7) * 86400 * step + shift).alias("ts"),
+        F.col("id").alias(name), F.when(F.col("id") % 4 > 0, F.col("id") * 2).alias(f"{name}2"))
+
+
+def many_labels(spark):
+    return spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("k"), (F.col("id") % 8).cast("string"))).otherwise("k1").alias("k"),
+        (F.col("id") % 5).alias("j"), F.col("id"),
+        F.timestamp_seconds(1704000000 + F.col("id") * 7919 % 4000000).alias("event_ts"))
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 40])
+def test_several_tables_at_once_as_one_after_the_other(spark, hot_rows):
+    lab, a, b = many_labels(spark), daily(spark, "a", 1, 0), daily(spark, "b", 3, 40000)
+    got = asof_join_many(lab, [(a, "ts", None), (b.withColumnRenamed("ts", "at"), "at", "b_ts")], ["k"], hot_rows=hot_rows)
+    want = asof_join(asof_join(lab, a, ["k"]), b, ["k"], keep_ts="b_ts")
+    assert got.columns == want.columns and got.count() == 3000
+    assert got.exceptAll(want).count() == 0
+    both = asof_join_many(lab, [(a, "ts", None), (b, "ts", None)], ["k"], how="inner", hot_rows=hot_rows)
+    assert both.count() == want.where("a is not null and b is not null").count()
+    with pytest.raises(ValueError):
+        asof_join_many(lab, [(a, "ts", None), (a, "ts", None)], ["k"])
+    empty = asof_join_many(lab.limit(0), [(a, "ts", None), (b, "ts", None)], ["k"])
+    assert empty.count() == 0
+    none = asof_join_many(lab, [(a.limit(0), "ts", None), (b, "ts", None)], ["k"])
+    assert none.where("a is not null").count() == 0 and none.where("b is not null").count() > 0
+
+
+def test_training_set_orders_columns_by_lookup_and_shuffles_labels_once_a_key(spark):
+    lab, a, b, c = many_labels(spark), daily(spark, "a", 1, 0), daily(spark, "b", 3, 40000), daily(spark, "c", 2, 5)
+    c = c.withColumn("j", F.col("c") % 5).drop("k").groupBy("j", "ts").agg(F.max("c").alias("c"))
+    looks = [Lookup(a, ["k"], "ts"), Lookup(c, ["j"], "ts"), Lookup(b, ["k"], "ts", columns=["b2"])]
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = training_set(lab, looks, [], "event_ts", exclude=["id", "a2"])
+        assert got.columns == ["k", "j", "event_ts", "a", "c", "b2"]
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join LeftOuter") == 4  # for each key: labels to intervals, and to hot buckets
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = asof_join(asof_join(asof_join(lab, a, ["k"]), c, ["j"]), b.select("k", "ts", "b2"), ["k"])
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == 3000
+
+
 def test_latest_and_in_force(spark):
     _, sn = frames(spark, [("a", 1, T0)], [("a", T0, 1), ("a", T0 + US, 2), ("b", T0, 3)])
     assert rows(latest_per_key(sn, ["k"]), "k", "v") == [("a", 2), ("b", 3)]

@@ -35,56 +35,104 @@ def asof_join(labels: DataFrame, snapshots: DataFrame, on: list[str], label_ts:
     bucket, as daily tables do: one ordering per key then suffices, and the job fails if the
     statement is wrong.
     """
+    if one_per_bucket:
+        return asof_join_many(labels, [(snapshots, snapshot_ts, keep_ts)], on, label_ts, how, bucket, hot_rows, probe)
     width = _BUCKET_US[bucket]
-    feats = [c for c in snapshots.columns if c not in on and c != snapshot_ts]
-    out = feats + ([keep_ts] if keep_ts else [])
-    clash = sorted(set(out) & set(labels.columns))
+    feats = _features(labels, snapshots, on, snapshot_ts, keep_ts)
+    need = _buckets_with_labels(labels if probe is None else probe, on, label_ts, width)
+    snap = _tagged(snapshots, on, snapshot_ts, width, feats, "_v").withColumn("_start", F.col("_v._at"))
+    right = _many_per_bucket(snap.unionByName(need, allowMissingColumns=True), on)
+    cond = (f" AND (r._start IS NULL OR r._start <= l.`{label_ts}`)"
+            f" AND (r._end IS NULL OR l.`{label_ts}` < r._end)")
+    joined = _meet(labels, right, need, on, label_ts, width, hot_rows, how, cond, {"_hit": "r._v"})
+    if how == "inner":
+        joined = joined.where("_hit IS NOT NULL")
+    result = joined.select(*labels.columns, "_hit.*")
+    return result.withColumnRenamed("_at", keep_ts) if keep_ts else result.drop("_at")
+
+
+def asof_join_many(labels: DataFrame, tables: list[tuple[DataFrame, str, str | None]], on: list[str],
+                   label_ts: str = "event_ts", how: str = "left", bucket: str = "day", hot_rows: int = 1_000_000,
+                   probe: DataFrame | None = None) -> DataFrame:
+    """``asof_join`` of several tables with one key at once: (snapshots, their time, ``keep_ts``) each.
+
+    All tables join one timeline per key, ordered once, so labels and snapshots cross one shuffle
+    whatever the number of tables. Each table has at most one snapshot per key and bucket.
+    ``how="inner"`` keeps labels that have a snapshot in every table.
+    """
+    width = _BUCKET_US[bucket]
+    need = _buckets_with_labels(labels if probe is None else probe, on, label_ts, width)
+    rows, seen, picks = need, labels, {}
+    for i, (snapshots, ts, keep) in enumerate(tables):
+        feats = _features(seen, snapshots, on, ts, keep)
+        seen = seen.select("*", *[F.lit(None).alias(c) for c in [*feats, *([keep] if keep else [])]])
+        rows = rows.unionByName(_tagged(snapshots, on, ts, width, feats, f"_v{i}"), allowMissingColumns=True)
+        picks[f"_hit{i}"] = f"CASE WHEN r._new{i}._at <= l.`{label_ts}` THEN r._new{i} ELSE r._old{i} END"
+    right = _one_per_bucket(rows, on, len(tables))
+    joined = _meet(labels, right, need, on, label_ts, width, hot_rows, how, "", picks)
+    if how == "inner":
+        joined = joined.where(" AND ".join(f"{h} IS NOT NULL" for h in picks))
+    out = [F.col(f"`{c}`") for c in labels.columns]
+    for h, (snapshots, ts, keep) in zip(picks, tables):
+        out += [F.col(f"{h}.`{c}`") for c in snapshots.columns if c not in on and c != ts]
+        out += [F.col(f"{h}._at").alias(keep)] if keep else []
+    return joined.select(*out)
+
+
+def _quoted(names: list[str]) -> list[str]:
+    return [f"`{c}`" for c in names]
+
+
+def _bucket_of(ts: str, width: int) -> str:
+    return f"CAST(floor(unix_micros(`{ts}`) / {width}) AS BIGINT) AS _b"
+
+
+def _features(labels: DataFrame, snapshots: DataFrame, on: list[str], ts: str, keep_ts: str | None) -> list[str]:
+    """The columns a table adds to the labels; they must be new there."""
+    feats = [c for c in snapshots.columns if c not in on and c != ts]
+    clash = sorted({*feats, *([keep_ts] if keep_ts else [])} & set(labels.columns))
     if clash:
         raise ValueError(f"label frame already has columns {clash}")
+    return feats
+
+
+def _buckets_with_labels(labels: DataFrame, on: list[str], label_ts: str, width: int) -> DataFrame:
+    return (labels.selectExpr(*_quoted(on), _bucket_of(label_ts, width)).where("_b IS NOT NULL")
+            .groupBy(*on, "_b").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _tagged(snapshots: DataFrame, on: list[str], ts: str, width: int, feats: list[str], name: str) -> DataFrame:
+    """(keys, bucket, one struct of features and time) of a snapshot table."""
+    body = ", ".join(_quoted(feats) + [f"`{ts}` AS _at"])
+    return snapshots.where(f"`{ts}` IS NOT NULL").selectExpr(*_quoted(on), _bucket_of(ts, width), f"struct({body}) AS {name}")
+
+
+def _meet(labels: DataFrame, intervals: DataFrame, need: DataFrame, on: list[str], label_ts: str, width: int,
+          hot_rows: int, how: str, cond: str, picks: dict[str, str]) -> DataFrame:
+    """Labels with the picked columns of the intervals of their key and bucket; hot buckets are split."""
     key = on + ["_b"]
-    q = lambda names: [f"`{c}`" for c in names]
-    bucket_of = lambda c: f"CAST(floor(unix_micros(`{c}`) / {width}) AS BIGINT) AS _b"
-
-    need = ((labels if probe is None else probe).selectExpr(*q(on), bucket_of(label_ts))
-            .where("_b IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("_n")))
-    body = ", ".join(q(feats) + [f"`{snapshot_ts}` AS _at"])
-    snap = (snapshots.where(f"`{snapshot_ts}` IS NOT NULL")
-            .selectExpr(*q(on), bucket_of(snapshot_ts), f"`{snapshot_ts}` AS _start",
-                        f"struct({body}) AS _v"))
-    rows = snap.unionByName(need, allowMissingColumns=True)
-    intervals = _one_per_bucket(rows, on) if one_per_bucket else _many_per_bucket(rows, on)
     right = intervals.selectExpr("*", f"explode(sequence(0, CAST((_n - 1) DIV {hot_rows} AS INT))) AS _salt")
-
     # At most labels / hot_rows rows; Spark sends them to every task only if they are small.
     hot = (need.where(f"_n > {hot_rows}")
-           .selectExpr(*q(key), f"(_n - 1) DIV {hot_rows} + 1 AS _splits"))
-    row = ", ".join(q(_hashable(labels)))
-    left = (labels.selectExpr("*", bucket_of(label_ts)).join(hot, key, "left")
-            .selectExpr(*q(labels.columns), "_b",
+           .selectExpr(*_quoted(key), f"(_n - 1) DIV {hot_rows} + 1 AS _splits"))
+    row = ", ".join(_quoted(_hashable(labels)))
+    left = (labels.selectExpr("*", _bucket_of(label_ts, width)).join(hot, key, "left")
+            .selectExpr(*_quoted(labels.columns), "_b",
                         f"CAST(coalesce(pmod(xxhash64({row}), _splits), 0) AS INT) AS _salt"))
-
-    cond = " AND ".join(f"l.`{k}` = r.`{k}`" for k in key + ["_salt"])
-    if one_per_bucket:
-        pick = f"CASE WHEN r._new._at <= l.`{label_ts}` THEN r._new ELSE r._old END"
-    else:
-        pick = "r._v"
-        cond += (f" AND (r._start IS NULL OR r._start <= l.`{label_ts}`)"
-                 f" AND (r._end IS NULL OR l.`{label_ts}` < r._end)")
-    joined = (left.alias("l").join(right.alias("r"), F.expr(cond), how)
-              .selectExpr("l.*", f"{pick} AS _hit").drop("_b", "_salt"))
-    if how == "inner":
-        joined = joined.where("_hit IS NOT NULL")
-    result = joined.select(*labels.columns, "_hit.*")
-    return result.withColumnRenamed("_at", keep_ts) if keep_ts else result.drop("_at")
+    same = " AND ".join(f"l.`{k}` = r.`{k}`" for k in key + ["_salt"])
+    return (left.alias("l").join(right.alias("r"), F.expr(same + cond), how)
+            .selectExpr("l.*", *[f"{e} AS {n}" for n, e in picks.items()]).drop("_b", "_salt"))
 
 
-def _one_per_bucket(rows: DataFrame, on: list[str]) -> DataFrame:
-    """One row per bucket that holds labels: its own snapshot and the newest one before it."""
-    by = f"PARTITION BY {', '.join(f'`{c}`' for c in on)} ORDER BY _b RANGE BETWEEN"
+def _one_per_bucket(rows: DataFrame, on: list[str], tables: int) -> DataFrame:
+    """One row per bucket that holds labels: for each table its own snapshot and the newest one before it."""
+    by = f"PARTITION BY {', '.join(_quoted(on))} ORDER BY _b RANGE BETWEEN"
     here = f"OVER ({by} CURRENT ROW AND CURRENT ROW)"
-    r = rows.selectExpr(*[f"`{c}`" for c in on], "_b", "_n",
-                        f"last(_v, true) OVER ({by} UNBOUNDED PRECEDING AND 1 PRECEDING) AS _old",
-                        f"last(_v, true) {here} AS _new", f"count(_v) {here} AS _c")
+    per = [f"last(_v{i}, true) OVER ({by} UNBOUNDED PRECEDING AND 1 PRECEDING) AS _old{i}" for i in range(tables)]
+    per += [f"last(_v{i}, true) {here} AS _new{i}" for i in range(tables)]
+    most = [f"count(_v{i}) {here}" for i in range(tables)]
+    r = rows.selectExpr(*_quoted(on), "_b", "_n", *per,
+                        f"{f'greatest({chr(44).join(most)})' if tables > 1 else most[0]} AS _c")
     fail = "raise_error('more than one snapshot in a bucket')"
     return r.where("_n IS NOT NULL").where(f"CASE WHEN _c > 1 THEN {fail} ELSE true END").drop("_c")
 

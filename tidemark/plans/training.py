@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.request import FeatureFunction, apply_functions
-from ..operators.asof import asof_join, lookup_latest
+from ..operators.asof import asof_join, asof_join_many, lookup_latest
 from ..operators.orderstats import interpolated
 from ..sources.changes import schema_rows
 
@@ -61,20 +61,26 @@ def quantile_split(labels: DataFrame, ts: str, q: float = 0.8) -> DataFrame:
 
 def training_set(labels: DataFrame, lookups: list[Lookup], functions: list[FeatureFunction],
                  label_ts: str, exclude: list[str]) -> DataFrame:
-    """Labels, then every lookup in order, then request functions, then exclusions.
+    """Labels, then every lookup, then request functions, then exclusions; columns in that order.
 
-    Filter or sample ``labels`` before calling: nothing can be pushed below the as-of joins.
+    Daily lookups on the same keys are attached together, so labels are shuffled once for each set
+    of keys. Filter or sample ``labels`` before calling: nothing can be pushed below the as-of joins.
     """
-    out = labels
+    out, columns = labels, list(labels.columns)
+    together: dict[tuple, list] = {}
     for lk in lookups:
         cols = lk.columns or [c for c in lk.table.columns if c not in lk.keys and c != lk.ts]
+        columns += cols
         t = lk.table.select(*lk.keys, *([lk.ts] if lk.ts else []), *cols)
-        if lk.ts:
-            out = asof_join(out, t, lk.keys, label_ts=label_ts, snapshot_ts=lk.ts, probe=labels,
-                            one_per_bucket=lk.daily)
+        if lk.ts and lk.daily:
+            together.setdefault(tuple(lk.keys), []).append((t, lk.ts, None))
+        elif lk.ts:
+            out = asof_join(out, t, lk.keys, label_ts=label_ts, snapshot_ts=lk.ts, probe=labels)
         else:
             out = lookup_latest(out, t, lk.keys)
-    return apply_functions(out, functions).drop(*exclude)
+    for keys, tables in together.items():
+        out = asof_join_many(out, tables, list(keys), label_ts, probe=labels)
+    return apply_functions(out.select(*columns), functions).drop(*exclude)
 
 
 def reattach(frame: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from ..operators.windows import trailing
 from ..plans import features as P
 from ..session import scratch_dir
 from ..sources import inputs as I
-from ..sources.tables import VersionedTable
+from ..sources.tables import BucketedTable
 from ..streaming.sessions import KeyedSink, read_stream, recompute_after_live, session_aggregate
 from .base_sql import with_
 from .registry import query
@@ -67,7 +67,7 @@ def recompute_after_live_events(spark, d):
 @query(with_("ev", "ti", "clock", "rb", "rbts") + """SELECT viewer_id, count(*) AS snapshots, max(ts) AS newest FROM (
   SELECT viewer_id, ts FROM rbts UNION ALL SELECT viewer_id, (SELECT as_of FROM clock) FROM rb WHERE viewer_id IN (SELECT viewer_id FROM ev, clock WHERE event_ts > as_of - INTERVAL 6 HOUR)) GROUP BY 1""")
 def live_snapshot_upsert(spark, d):
-    t = VersionedTable(spark, scratch_dir(spark, "recent"))
-    t.upsert(P.recent_behavior_ts(I.events(spark, d), I.titles(spark, d)), ["viewer_id", "ts"])
-    t.upsert(recompute_after_live_events(spark, d).select(t.read().columns), ["viewer_id", "ts"])
+    t = BucketedTable(spark, scratch_dir(spark, "recent"), ["viewer_id", "ts"], ["viewer_id"], 16)
+    t.upsert(P.recent_behavior_ts(I.events(spark, d), I.titles(spark, d)))
+    t.upsert(recompute_after_live_events(spark, d).select(t.read().columns))
     return t.read().groupBy("viewer_id").agg(F.count(F.lit(1)).alias("snapshots"), F.max("ts").alias("newest"))

@@ -6,11 +6,13 @@ from ..constants import RAILS
 from ..plans import ranking as K
 from ..session import scratch_dir
 from ..sources import changes as C, inputs as I
-from ..sources.tables import VersionedTable, export_training_set, read_table, write_table
+from ..sources.tables import BucketedTable, export_training_set, read_table, write_table
 from .base_sql import r, with_
 from .ranking import SCORE, SCORED, STATE, scored_pairs
 from .registry import query
 
+#: Buckets of the queries' keyed tables; a large table takes one for every few hundred MB.
+BUCKETS = 16
 CUT = "2024-01-16 00:00:00"
 HALF = """a AS (SELECT viewer_id, count(*) AS events, CAST(sum(watch_seconds) AS BIGINT) AS seconds FROM ev WHERE event_ts < TIMESTAMP '2024-01-16' GROUP BY 1),
 b AS (SELECT viewer_id, count(*) AS events, CAST(sum(watch_seconds) AS BIGINT) AS seconds FROM ev WHERE event_ts >= TIMESTAMP '2024-01-16' AND watch_seconds>0 GROUP BY 1)"""
@@ -27,9 +29,9 @@ def halves(spark, d):
 @query(with_("ev", more=HALF) + "SELECT * FROM b UNION ALL SELECT * FROM a WHERE viewer_id NOT IN (SELECT viewer_id FROM b)")
 def upsert_merge(spark, d):
     a, b = halves(spark, d)
-    t = VersionedTable(spark, scratch_dir(spark, "upsert"))
-    t.upsert(a, ["viewer_id"])
-    t.upsert(b, ["viewer_id"])
+    t = BucketedTable(spark, scratch_dir(spark, "upsert"), ["viewer_id"], buckets=BUCKETS)
+    t.upsert(a)
+    t.upsert(b)
     return t.read()
 
 
@@ -47,10 +49,11 @@ def change_feed_diff(spark, d):
 @query(with_("ev", more=HALF) + f"SELECT change_type, count(*) AS keys FROM ({DIFF}) GROUP BY 1")
 def change_feed_since_version(spark, d):
     a, b = halves(spark, d)
-    t = VersionedTable(spark, scratch_dir(spark, "feed"))
-    first = t.commit(a)
-    t.commit(b)
-    return t.changes(first, ["viewer_id"]).groupBy("change_type").agg(F.count(F.lit(1)).alias("keys"))
+    t = BucketedTable(spark, scratch_dir(spark, "feed"), ["viewer_id"], buckets=BUCKETS)
+    t.create(a)
+    first = t.latest()
+    t.overwrite(b)
+    return t.changes(first).groupBy("change_type").agg(F.count(F.lit(1)).alias("keys"))
 
 
 @query(with_(*SCORED, more=STATE + ",\n" + SCORE) + """, k AS (SELECT DISTINCT viewer_id FROM ev WHERE event_type='complete')
@@ -62,8 +65,8 @@ def replace_where(spark, d):
         scored_pairs(spark, d, [("21 mobile", "mobile", 21)], only=keys))
     one = lambda c, v: (K.rank_rails(s.where(F.col("context") == c))
                         .select("viewer_id", "rail_id", "rail_rank", F.lit(v).alias("model_version")))
-    t = VersionedTable(spark, scratch_dir(spark, "replace"))
-    t.commit(one("21 tv", "v1"))
+    t = BucketedTable(spark, scratch_dir(spark, "replace"), ["viewer_id", "rail_id"], ["viewer_id"], BUCKETS)
+    t.create(one("21 tv", "v1"))
     t.replace(keys, one("21 mobile", "v2"), ["viewer_id"])
     return t.read()
 
@@ -127,7 +130,7 @@ def _ranked_by_features(spark, features):
 def incremental_run(spark, d):
     """A run over old features, then one that rescores only what changed; the table and both states."""
     a, b = halves(spark, d)
-    t = VersionedTable(spark, scratch_dir(spark, "rescore"))
+    t = BucketedTable(spark, scratch_dir(spark, "rescore"), ["viewer_id", "rail_id"], ["viewer_id"], BUCKETS)
     states = scratch_dir(spark, "state")
     sig = C.signature(model="ranker", device="tv", hour=21)
     none = spark.createDataFrame([], "table_name string, viewer_id bigint")

@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from ..constants import RAIL_COLUMN_ROLES, VIEWER_RAIL_FEATURES
+from ..constants import RAIL_COLUMN_ROLES, RAIL_FEATURES, RECENT_FEATURES, VIEWER_FEATURES, VIEWER_RAIL_FEATURES
 from ..functions import request as R
 from ..functions.keys import in_sample, in_sample_md5, stable_unit
 from ..operators.asof import asof_join, latest_per_key
 from ..plans import features as P, training as T
-from ..session import materialize
+from ..session import materialize, materialize_all
 from ..sources import inputs as I
 from .base_sql import GEN, GENRES, r, unit, with_
 from .registry import query
@@ -114,18 +114,17 @@ def pit_composite_from_change_points(spark, d):
 
 def rail_tables(spark, d):
     """The rail ranker's stored feature tables and labels, written to the shared folder."""
-    ev, ti = I.events(spark, d), I.titles(spark, d)
-    imp = materialize(I.impressions(spark, d), "impressions")
-    title_ts = materialize(P.title_features_ts(ti, ev), "title_features_ts")
-    rails = I.rails(spark)
+    ev, ti, rails = I.events(spark, d), I.titles(spark, d), I.rails(spark)
+    one = materialize_all({"impressions": I.impressions(spark, d), "title_features_ts": P.title_features_ts(ti, ev),
+                           "viewer_features_ts": P.viewer_features_ts(ev, ti), "recent_behavior_ts": P.recent_behavior_ts(ev, ti)})
+    imp = one["impressions"]
     members = P.rail_title_map(ti, rails, P.data_clock(ev))
-    labels = materialize(T.rail_labels(imp, P.position_propensity(imp)), "rail_labels")
-    return labels, [
-        (materialize(P.viewer_features_ts(ev, ti), "viewer_features_ts"), ["viewer_id"]),
-        (materialize(P.recent_behavior_ts(ev, ti), "recent_behavior_ts"), ["viewer_id"]),
-        (materialize(P.rail_features_ts(imp, rails, members, title_ts), "rail_features_ts"), ["rail_id"]),
-        (materialize(P.viewer_rail_features_ts(imp, dense=False), "viewer_rail_features_ts"),
-         ["viewer_id", "rail_id"])]
+    two = materialize_all({
+        "rail_labels": T.rail_labels(imp, P.position_propensity(imp)),
+        "rail_features_ts": P.rail_features_ts(imp, rails, members, one["title_features_ts"]),
+        "viewer_rail_features_ts": P.viewer_rail_features_ts(imp, dense=False)})
+    return two["rail_labels"], [(one["viewer_features_ts"], ["viewer_id"]), (one["recent_behavior_ts"], ["viewer_id"]),
+                                (two["rail_features_ts"], ["rail_id"]), (two["viewer_rail_features_ts"], ["viewer_id", "rail_id"])]
 
 
 def rail_lookups(tables, point_in_time=True):
@@ -135,10 +134,9 @@ def rail_lookups(tables, point_in_time=True):
     return [T.Lookup(latest_per_key(t, k), k) for t, k in tables]
 
 
-RAIL_OUT = ["session_id", "viewer_id", "rail_id", "rail_position", "engaged", "label_ts", "sample_weight",
-            "minutes_watched_7d", "typical_watch_hour", "skips_24h", "last_primary_genre",
-            "rail_ctr_30d", "rail_avg_popularity", "rail_content_age_days", "rail_type_idx",
-            "vr_impressions_30d", "vr_ctr_30d", "vr_last_click_epoch_s"]
+RAIL_INPUTS = [*VIEWER_FEATURES, *RECENT_FEATURES, *RAIL_FEATURES, *VIEWER_RAIL_FEATURES]
+RAIL_OUT = ["session_id", "viewer_id", "rail_id", "rail_position", "engaged", "label_ts", "sample_weight", "device",
+            "locale", "hour_of_day", "day_of_week", "was_viewport", *RAIL_INPUTS]
 RAIL_FN = ["rail_taste_match", "rail_click_recency", "device_rail_fit", "hour_affinity", "session_decay"]
 RAIL_FN_SQL = (f"{r(TASTE, 9)} AS rail_taste_match, round({RECENCY}, 9) AS rail_click_recency, {FIT} AS device_rail_fit, "
                f"{r(HOUR, 11)} AS hour_affinity, round({DECAY}, 9) AS session_decay")
@@ -152,7 +150,7 @@ RAIL_BASE = ("ev", "ti", "rails", "imp", "clock", "prop", "rtm", "tfts", "vf", "
 @query(with_(*RAIL_BASE, more=RLAB + ",\n" + RTS) + f"SELECT {', '.join(RAIL_OUT)}, {RAIL_FN_SQL} FROM t4")
 def rail_training_set(spark, d):
     labels, tables = rail_tables(spark, d)
-    s = T.training_set(labels, rail_lookups(tables), R.RAIL_FUNCTIONS, "label_ts", [])
+    s = T.training_set(labels, rail_lookups(tables), R.RAIL_FUNCTIONS, "label_ts", exclude=["request_epoch_s"])
     return _round(s.select(*RAIL_OUT, *RAIL_FN), ["rail_taste_match", "rail_click_recency", "hour_affinity",
                                                   "session_decay"])
 

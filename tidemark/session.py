@@ -7,7 +7,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 #: The setting that names the folder which driver and executors share.
@@ -62,6 +64,17 @@ def materialize(df, label: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_all(frames: dict) -> dict:
+    """``materialize`` of independent frames at the same time, so that a small one does not hold up the others."""
+    if not frames:
+        return {}
+    # Threads of the session carry its job group and settings.
+    spark = next(iter(frames.values())).sparkSession
+    with ThreadPoolExecutor(min(8, len(frames))) as pool:
+        jobs = {name: pool.submit(inheritable_thread_target(spark)(materialize), df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in jobs.items()}
+
+
 def release(spark: SparkSession) -> int:
     """Removes every intermediate written so far; frames that read them are void. Returns how many."""
     n = len(_made)

@@ -1,16 +1,14 @@
-"""Reading and writing parquet tables, and versions of one as numbered folders.
-
-A version is visible once its history row exists; the row is appended after the data is
-written, so a job that dies half-way leaves an unreferenced folder and nothing else.
-"""
+"""Reading and writing parquet tables, and keyed tables that are patched bucket by bucket."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Callable
 
-from .changes import diff_rows, latest_data_version, merge_rows, replace_rows, same_schema
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType
 
-HISTORY = "version bigint, operation string, folder string, committed_at timestamp"
+from ..session import materialize
+from .changes import diff_rows, differing_buckets, merge_rows, replace_rows, same_schema
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -41,66 +39,93 @@ def export_training_set(training: DataFrame, path: str, extra: DataFrame | None
     return out
 
 
-class VersionedTable:
-    """Parquet folders ``data/<version>-<attempt>`` under one root with a small history table."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def history(self) -> DataFrame:
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/history")
-        fs = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(fs_path):
-            return self.spark.createDataFrame([], HISTORY)
-        return self.spark.read.schema(HISTORY).parquet(f"{self.root}/history")
-
-    def latest(self) -> int | None:
-        return self.history().agg(F.max("version")).first()[0]
-
-    def latest_data_version(self) -> int | None:
-        row = latest_data_version(self.history().withColumn("t", F.lit(0)), ["t"]).first()
-        return None if row is None else row["version"]
-
-    def read(self, version: int | None = None) -> DataFrame:
-        h = self.history()
-        v = h if version is None else h.where(F.col("version") <= version)
-        row = v.agg(F.max_by("folder", "version")).first()
-        if row[0] is None:
-            raise ValueError(f"{self.root} has no such version")
-        return self.spark.read.parquet(row[0])
-
-    def commit(self, df: DataFrame, operation: str = "WRITE") -> int:
-        import uuid
-        v = (self.latest() or 0) + 1
-        folder = f"{self.root}/data/{v:08d}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(folder)
-        self._log(v, operation, folder)
-        return v
-
-    def _log(self, version: int, operation: str, folder: str) -> None:
-        (self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"), F.lit(operation).alias("operation"),
-            F.lit(folder).alias("folder"), F.current_timestamp().alias("committed_at"))
-         .coalesce(1).write.mode("append").parquet(f"{self.root}/history"))
-
-    def upsert(self, updates: DataFrame, keys: list[str]) -> int:
-        """Create when absent, merge when (name, type) pairs match, recreate otherwise."""
-        if self.latest() is None:
-            return self.commit(updates, "CREATE")
-        now = self.read()
-        if not same_schema(now, updates):
-            return self.commit(updates, "RECREATE")
-        return self.commit(merge_rows(now, updates, keys), "MERGE")
+class BucketedTable:
+    """Rows in parquet folders by a hash of ``by`` (default: the keys), and the rows that each write changed.
+
+    A write reads, compares and overwrites only the folders it touches, by Spark's dynamic partition
+    overwrite. Change rows of write ``n`` are stored under ``changes/batch=n`` before the rows
+    themselves; a write that fails half-way and is run again is reported twice at most, never missed,
+    and leaves the same rows. One writer at a time. ``keys`` identify a row. A table keeps the number
+    of buckets it was created with.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], by: list[str] | None = None, buckets: int = 64):
+        self.spark, self.root, self.keys, self.by, self.buckets = spark, root.rstrip("/"), keys, by or keys, buckets
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _there(self, name: str) -> bool:
+        fs, path = self._path(name)
+        return fs.exists(path)
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
+
+    def _stored(self) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.root}/schema").schema
+        return self.spark.read.schema(schema.add("__bucket", IntegerType())).parquet(f"{self.root}/rows")
+
+    def read(self) -> DataFrame:
+        return self._stored().drop("__bucket")
+
+    def create(self, df: DataFrame) -> None:
+        """All rows anew; nothing is reported as changed."""
+        rows = materialize(df.withColumn("__bucket", self.bucket()), "bucketed-rows")
+        df.limit(0).write.mode("overwrite").parquet(f"{self.root}/schema")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("__bucket").parquet(f"{self.root}/rows")
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        """Numbers of the buckets of some rows: at most as many as there are buckets."""
+        return sorted(r[0] for r in rows.select(self.bucket()).distinct().collect())
+
+    def _patch(self, touched: list[int], change: Callable[[DataFrame], DataFrame]) -> int:
+        """Overwrites the touched buckets that ``change`` makes differ; returns how many."""
+        if not touched:
+            return 0
+        old = self._stored().where(F.col("__bucket").isin(touched))
+        new = materialize(change(old.drop("__bucket")).withColumn("__bucket", self.bucket()), "bucketed-rows")
+        diff = materialize(diff_rows(old, new, [*self.keys, "__bucket"]), "bucketed-changes")
+        now = {r[0]: r[1] for r in diff.groupBy("__bucket").agg(F.count_if(F.col("change_type") != "delete")).collect()}
+        if not now:
+            return 0
+        batch = self.latest() + 1
+        (diff.drop("__bucket").withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(f"{self.root}/changes"))
+        kept = {r[0] for r in new.where(F.col("__bucket").isin(list(now))).select("__bucket").distinct().collect()}
+        (new.where(F.col("__bucket").isin(list(now))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("__bucket").parquet(f"{self.root}/rows"))
+        for b in set(now) - kept:  # an emptied bucket has no rows that would replace it
+            fs, path = self._path(f"rows/__bucket={b}")
+            fs.delete(path, True)
+        return len(now)
+
+    def upsert(self, updates: DataFrame) -> int | None:
+        """Create when absent, merge when (name, type) pairs match, create anew otherwise (None)."""
+        if not self._there("schema") or not same_schema(self.read(), updates):
+            self.create(updates)
+            return None
+        return self._patch(self._touched(updates), lambda old: merge_rows(old, updates, self.keys))
 
     def replace(self, keys: DataFrame, rows: DataFrame, on: list[str]) -> int:
-        """Partial overwrite of the listed keys; an empty list leaves the table as it is."""
-        if keys.isEmpty():
-            return self.latest()
-        return self.commit(replace_rows(self.read(), keys, rows, on), "REPLACE")
-
-    def changes(self, since: int, keys: list[str]) -> DataFrame:
-        """Change rows after version ``since`` (its own rows are not reported again)."""
-        now = self.read()
-        if since >= self.latest():
-            return now.where(F.lit(False)).withColumn("change_type", F.lit(None).cast("string"))
-        return diff_rows(self.read(since), now, keys)
+        """Partial overwrite of the listed keys (of the columns ``by``); an empty list leaves the table as it is."""
+        return self._patch(self._touched(keys), lambda old: replace_rows(old, keys, rows, on))
+
+    def overwrite(self, df: DataFrame) -> int:
+        """All rows anew, of which only the buckets with another content are joined and written."""
+        fresh = materialize(df, "bucketed-new")
+        touched = differing_buckets(self.read(), fresh, self.bucket())
+        return self._patch(touched, lambda old: fresh.where(self.bucket().isin(touched)))
+
+    def latest(self) -> int:
+        """Number of the last write that changed rows."""
+        if not self._there("changes"):
+            return 0
+        return self.spark.read.parquet(f"{self.root}/changes").agg(F.coalesce(F.max("batch"), F.lit(0))).first()[0]
+
+    def changes(self, since: int = 0) -> DataFrame:
+        """Change rows of the writes after number ``since``."""
+        if not self._there("changes"):
+            return self.read().limit(0).withColumns({"change_type": F.lit(None).cast("string"), "batch": F.lit(0)})
+        return self.spark.read.parquet(f"{self.root}/changes").where(F.col("batch") > since)
