@@ -4,7 +4,8 @@ import random
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use for their own columns; a table may bring them along.
-CLASHING = ["size", "shard", "slot", "taken", "given", "score", "lang_pred", "hits", "found", "pattern", "bin", "k1", "n"]
+CLASHING = ["size", "shard", "slot", "taken", "given", "score", "lang_pred", "hits", "found", "pattern", "bin", "k1", "k2", "n",
+            "draw", "part", "sub", "hots", "offset", "uses", "id", "sig", "place"]
 
 
 def words(rng: random.Random, n: int, stems=("ka", "lo", "mi", "ra", "tu", "ve", "no", "si")) -> str:

@@ -10,7 +10,7 @@ import corpus_pipeline as pipeline
 from tidemark.llm import jaccard, mixing, queries
 from tidemark.llm.common import WordHash, fold
 
-from cases import frame, words
+from cases import CLASHING, frame, words
 from test_text_operators import brute_items
 
 
@@ -42,10 +42,15 @@ def test_stages_each_keep_their_promise(spark, sf):
 
 
 def test_awkward_rows_go_through_all_stages(spark, sf):
-    docs = frame(spark)
+    docs = frame(spark, clash=True)
+    columns = docs.columns
     for name, stage in pipeline.STAGES:
         docs = pipeline.materialize(stage(spark, docs, sf), "test")
-    assert docs.count() > 0
+        if name != pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+            assert docs.where(" or ".join(f"{c} <> 'x'" for c in CLASHING)).count() == 0
+    assert docs.count() > 0 and {r.n for r in docs.select("n").collect()} == {"x"}
+    assert docs.columns == [c for c in columns if c not in ("size", "shard", "slot")] + ["size", "shard", "slot"]
     empty = frame(spark).limit(0)
     for name, stage in pipeline.STAGES:
         empty = pipeline.materialize(stage(spark, empty, sf), "test")
@@ -78,7 +83,7 @@ def test_the_mix_holds_whole_documents_near_the_targets(spark, sf):
 
 
 def test_every_operator_has_its_query():
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", ["op1_feistel_pseudonyms", "op6_subword_lattice", "op8_count_vector_jaccard"])

@@ -134,20 +134,22 @@ def test_mix_of_overlapping_sources(spark):
 
 
 def test_the_mix_itself(spark):
-    df = frame(spark)
+    df = frame(spark, clash=True)
     mixed = mixing.mix(df, F.array("source"), mixing.word_count(F.col("text")))
+    assert [c for c in mixed.columns if c not in ("size", "taken", "given")] == [c for c in df.columns if c not in ("size", "taken", "given")]
     count = lambda t: len((t or "").encode().split())
-    want, texts = Counter(), {}
-    for r in mixed.collect():
-        assert r["size"] == count(r.text)
-        want[r.doc_id] += r.taken
-        texts[r.doc_id] = r.text
-    got, out = Counter(), mixing.take(mixed)
-    assert out.columns == df.columns
-    for r in out.collect():
-        assert texts[r.doc_id].strip().startswith(r.text.strip())
-        got[r.doc_id] += count(r.text)
-    assert +got == +want
+    want = Counter()
+    for r in mixed.withColumn("uses", mixing.whole_uses()).collect():
+        assert r["size"] == count(r.text) and 0 <= r.uses <= 2 and abs(r.uses * r["size"] - r.taken) * 2 <= r["size"]
+        want[r.doc_id, r.text] += r.uses
+    out = mixing.take_whole(mixed)
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == +want
+
+
+def test_rows_without_an_id_are_spread(spark):
+    df = spark.range(500).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").alias("n"), F.lit("a").alias("source"))
+    got = mixing.mix(df, F.array("source"), F.col("n"))
+    assert got.count() == 500 and got.where("taken > 0 and taken < 2 * size").count() >= 100
 
 
 # --- near duplicates --------------------------------------------------------------------------
@@ -238,8 +240,8 @@ def test_chat_reads_back_exactly(spark):
     rows = []
     for c in range(60):
         for t in range(rng.randint(1, 7)):
-            rows.append((c, t, rng.choice(["user", "assistant", "assistant", "system", "to]ol%", ""]), rng.choice(TRICKY)))
-    rows += [(90, 1, None, None), (90, None, "user", "first"), (91, 0, "user", "x"), (91, 0, "user", "x"), (None, 0, "user", "y"),
+            rows.append((c, t, rng.choice(["user", "assistant", "assistant", "system", "to]ol%", "a[ROLE b", "[INST]", "</s>[SEP]", "%5B", " ", "a[/ROLE]", ""]), rng.choice(TRICKY)))
+    rows += [(80, 0, "", "[ROLE a"), (80, 1, "b", "x"), (90, 1, None, None), (90, None, "user", "first"), (91, 0, "user", "x"), (91, 0, "user", "x"), (None, 0, "user", "y"),
              (92, 0, "assistant", "long " * 20_000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1))
     got = (chat.format_conversations(df).withColumn("back", chat.read_back(F.col("formatted")))

@@ -363,3 +363,28 @@ def test_documents_are_scored_as_by_counting(spark):
     assert lattice.score(df.limit(0), F.lit(True)).count() == 0
     nothing = lattice.score(df, F.lit(False)).collect()
     assert {r.train_tokens for r in nothing} == {0} and all(math.isfinite(r.score) for r in nothing)
+
+
+def test_a_word_seen_often_keeps_its_arc_however_long(spark):
+    """Its lattice is far below what a double holds; its count is not."""
+    long_ = "http://" + "qzxj" * 400
+    rows = [(i, f"ka lo {long_}" if i % 2 else "ka lo", "en", "a", 1) for i in range(20)] + [(99, "x" + long_, "en", "a", 1)]
+    got = {r.key: r for r in lattice.score(spark.createDataFrame(rows, SCHEMA), F.col("doc_id") < 20).collect()}
+    assert got[1].lattice_score < -1000 and got[1].score > -20
+    assert got[99].score < -1000
+    total, distinct = 10 + 20 + 20 + 20, 4
+    assert math.isclose(got[99].score - lattice.whole_word(math.log10(20 / total), 20, total, distinct),
+                        got[99].lattice_score + math.log10(distinct / (total + distinct)), rel_tol=1e-2)
+    for x, c in ((-5.0, 3), (-400.0, 7), (-400.0, 0), (-0.1, 1)):
+        want = math.log10((c + 4 * 10.0 ** x) / 74) if c or x > -300 else x + math.log10(4 / 74)
+        assert math.isclose(lattice.whole_word(x, c, 70, 4), want, rel_tol=1e-9)
+
+
+def test_words_dealt_out_by_runs_are_scored_the_same(spark, monkeypatch):
+    rows = [(i, words(random.Random(i), 60), "en", "a", 1) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    key = lambda d: {r.key: r for r in lattice.score(d, F.col("doc_id") % 3 > 0).collect()}
+    whole = key(df)
+    monkeypatch.setattr(lattice, "PLACES", 8)
+    for k, r in key(df).items():
+        assert math.isclose(r.score, whole[k].score, rel_tol=1e-12) and r.n_known == whole[k].n_known and r.n_tokens == whole[k].n_tokens

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 CONTROL = r"([\[<])(\\*)(/?INST\]|ANS\]|/?ROLE[ \]]|SEP\]|/?s>)"
 ESCAPED = r"([\[<])\\(\\*)(/?INST\]|ANS\]|/?ROLE[ \]]|SEP\]|/?s>)"
 SEP = "[SEP]"
+_CODED = [("%", "%25"), ("[", "%5B"), ("]", "%5D")]
 
 
 def escape(text: Column) -> Column:
@@ -25,8 +26,16 @@ def unescape(text: Column) -> Column:
 
 
 def _name(role: Column) -> Column:
-    """A role name inside a marker: closing brackets and percent signs are coded."""
-    return F.replace(F.replace(role, F.lit("%"), F.lit("%25")), F.lit("]"), F.lit("%5D"))
+    """A role name inside a marker: brackets and percent signs are coded."""
+    for sign, code in _CODED:
+        role = F.replace(role, F.lit(sign), F.lit(code))
+    return role
+
+
+def _named(name: Column) -> Column:
+    for sign, code in reversed(_CODED):
+        name = F.replace(name, F.lit(code), F.lit(sign))
+    return name
 
 
 def _opening(role: Column) -> Column:
@@ -45,7 +54,8 @@ def format_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn
     Turns sort by turn number (null first), then role and text, so repeated rows have a place; null
     role or text is empty; rows of a null conversation form one. ``loss`` holds (start, length) in
     code points, one span for each assistant turn; the separator inside a block is outside it.
-    An empty table gives no rows.
+    An empty table gives no rows. A conversation is one value: it has to fit in an array and a string
+    of 2 GB, as do all rows of a null id together.
     """
     item = F.struct(F.col(turn).cast("long").alias("turn"),
                     F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
@@ -80,8 +90,7 @@ def read_back(formatted: Column) -> Column:
     """The turns (role, text) of a formatted conversation, from its text alone."""
     blocks = F.filter(F.split(formatted, r"(?=\[INST\]|\[ANS\]|\[ROLE )"), lambda b: b != "")
     role_of = lambda b: (F.when(b.startswith("[INST]"), "user").when(b.startswith("[ANS]"), "assistant")
-                         .otherwise(F.replace(F.replace(F.regexp_extract(b, r"^\[ROLE ([^\]]*)\]", 1),
-                                                        F.lit("%5D"), F.lit("]")), F.lit("%25"), F.lit("%"))))
+                         .otherwise(_named(F.regexp_extract(b, r"^\[ROLE ([^\]]*)\]", 1))))
     body_of = lambda b: F.regexp_replace(
         F.regexp_replace(b, r"^(?:\[INST\]|\[ANS\]|\[ROLE [^\]]*\]) ", ""), r"(?: \[/INST\]|</s>|\[/ROLE\])\z", "")
     return F.flatten(F.transform(blocks, lambda b: F.transform(

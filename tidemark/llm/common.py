@@ -50,6 +50,17 @@ def ascii_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def veiled(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns under private names, and these names, so that none clashes with an operator's own."""
+    names = {c: f"__doc{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def unveiled(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of ``veiled`` under their own names again, without others."""
+    return df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 class WordHash(dict):
     """64-bit hash of a word, remembered for frequent words; forgets everything at ``most`` entries."""
 

@@ -28,6 +28,8 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 PIECES = "piece_bpe_32k.model"
 #: Bytes of text in one run of documents.
 RUN = 12 << 20
+#: Bytes of a word's places that one task joins; a word with more is dealt out by its runs.
+PLACES = 4 << 20
 #: Documents in one run; a place is two numbers of 16 bits, document and count.
 RUN_ROWS = 1 << 16
 SMOOTH = 0.1
@@ -143,8 +145,11 @@ def _documents(part: pa.RecordBatch, words: list[int]) -> bytes:
 
 
 def whole_word(lattice: np.ndarray | float, count: np.ndarray | int, total: int, distinct: int):
-    """Log10 probability with the whole-word arc: seen share plus the unseen share of the lattice."""
-    return np.log10((count + distinct * np.power(10.0, np.maximum(lattice, -300))) / (total + distinct)) if total else lattice
+    """Log10 probability with the whole-word arc: seen share plus the unseen share of the lattice, added in logarithms."""
+    if not total:
+        return lattice
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log(count), np.log(distinct) + lattice * math.log(10)) / math.log(10) - math.log10(total + distinct)
 
 
 def _finish(total: int, distinct: int, ends: int, end_score: float):
@@ -162,7 +167,7 @@ def _finish(total: int, distinct: int, ends: int, end_score: float):
         sum_ = lambda x: np.bincount(doc, np.repeat(x, per) * n, size)
         end = math.log10(ends + 1) - base
         lattice = words.column("score").to_numpy()
-        full = np.where(lattice < -300, lattice - 1, whole_word(lattice, c, total, distinct)) if len(c) else lattice
+        full = whole_word(lattice, c, total, distinct)
         tokens = docs.column("n").to_numpy() + 1
         return pa.table({
             "key": docs.column("key"), "train": docs.column("train"), "n_tokens": pa.array(tokens),
@@ -180,17 +185,18 @@ def score(df: DataFrame, train: Column, key: str = "doc_id", text: str = "text",
     and lattice_score, the likelihood without whole-word arcs.
 
     Words are runs of anything but ASCII blanks with A-Z lower-cased; the end counts as one more
-    token. A null or empty text is its end alone. A null key stays null; repeated rows are scored
+    token; very long words are words too, of which only the pieces are looked up. A null or empty text is its end alone. A null key stays null; repeated rows are scored
     each. Without training rows every count is zero and pieces are equally likely. An empty table
-    gives no rows. Only the piece counts, as many as the vocabulary has pieces, reach the driver.
+    gives no rows. Only the piece counts, as many as the vocabulary has pieces, reach the driver. Every
+    machine has the tokenizer's ``folder``.
     """
     path = os.path.join(folder, pieces)
     docs = df.select(F.monotonically_increasing_id().alias("run"), F.col(key).cast("long").alias("key"),
                      F.coalesce(train, F.lit(False)).alias("train"), raw(F.col(text)).alias("text"))
     read = materialize(docs.mapInArrow(_read, _ROW), "lattice-words")
     ends = read.where("token is null").agg(F.coalesce(F.sum("trained"), F.lit(0))).first()[0]
-    counts = materialize(read.where("token is not null").groupBy("token").agg(F.sum("trained").alias("count")),
-                         "lattice-counts")
+    counts = materialize(read.where("token is not null").groupBy("token").agg(
+        F.sum("trained").alias("count"), (F.sum(F.octet_length("places")) / PLACES + 1).cast("int").alias("parts")), "lattice-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,11 +220,16 @@ def score(df: DataFrame, train: Column, key: str = "doc_id", text: str = "text",
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in runs(batches, "token", 1 << 20):
             yield pa.RecordBatch.from_pydict({
-                "token": part.column("token"), "count": part.column("count"),
+                "token": part.column("token"), "parts": part.column("parts"), "count": part.column("count"),
                 "score": pa.array([lattice.word(t) for t in part.column("token").to_pylist()], pa.float64())})
 
-    weighed = counts.mapInArrow(weigh, "token binary, count long, score double")
-    back = (read.where("token is not null").join(weighed, "token")
+    # A word in most runs is in one part for every few MB of places. Such words are few and known before the join.
+    often = materialize(counts.where("parts > 1").select("token", "parts"), "lattice-often")
+    weighed = (counts.mapInArrow(weigh, "token binary, parts int, count long, score double")
+               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    dealt = F.pmod(F.xxhash64("run"), F.coalesce("parts", F.lit(1))).cast("int")
+    back = (read.where("token is not null").join(often, "token", "left").withColumn("part", dealt).drop("parts")
+            .join(weighed, ["token", "part"])
             .select("run", F.lit(False).alias("head"), "places", "count", "score")
             .unionByName(read.where("token is null").select(
                 "run", F.lit(True).alias("head"), "places", F.lit(0).cast("long").alias("count"), F.lit(0.0).alias("score"))))

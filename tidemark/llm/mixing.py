@@ -108,18 +108,20 @@ def _names(key: str) -> tuple:
 
 def mix(df: DataFrame, sources: Column, size: Column, key: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2),
         share: float = 1.5, most: int = 2, seed: str = "mix") -> DataFrame:
-    """All rows of ``df`` with ``size``, ``taken`` words and ``given``, the words by source, added.
+    """All rows of ``df`` with ``size``, ``taken`` words and ``given``, the words by source, added (columns of
+    those names are replaced).
 
-    ``taken`` is a whole number of uses but for one document at the end of each use of a pattern,
-    which gives its first words. Null ``sources`` or a null in it is a source of its own; a null id
-    counts as empty; repeated rows are documents of their own, ordered by all that is known of them;
+    ``taken`` is a whole number of uses but for one document at the end of each use of a pattern;
+    ``whole_uses`` rounds it. Null ``sources`` or a null in it is a source of its own; repeated rows are documents of their own, ordered by all that is known of them;
     an empty table gives an empty result. ``targets_of`` of the same frame gives the targets. The
     driver holds one row for each pattern.
     """
-    own = ["size", "taken", "given", "pattern", "draw", "bin"]
-    kept = [c for c in df.columns if c.lower() not in own]
-    draw = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
-    base = df.select(*[F.col(f"`{c}`") for c in kept], size.alias("size"), draw.alias("draw"),
+    names = {c: f"__kept{i}" for i, c in enumerate(df.columns) if c.lower() not in ("size", "taken", "given")}
+    kept = [F.col(n).alias(c) for c, n in names.items()]
+    # Rows without an id are told apart by all they hold, so that no bin gets all of them.
+    known = F.coalesce(F.col(key).cast("string"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))
+    draw = F.md5(F.concat(F.lit(seed + "|"), known).cast("binary"))
+    base = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], size.alias("size"), draw.alias("draw"),
                      _key(F.coalesce(sources, F.array(F.lit(None).cast("string")))).alias("pattern"))
     base = base.withColumn("bin", F.substring("draw", 1, DIGITS))
     words, want = plan_inputs(base, weights, share, most)
@@ -162,27 +164,18 @@ def plan_inputs(base: DataFrame, weights: tuple[int, ...], share: float, most: i
     return words, targets(sizes, weights, share, most, sum(words.values()))
 
 
-def take(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """The mix itself: every row as often as it is used; a last partial use has the first words only."""
-    kept = [c for c in mixed.columns if c not in ("size", "taken", "given")]
-    blank, black = r"\x20\x09-\x0D", r"^\x20\x09-\x0D"
-    part = F.expr("if(size > 0, taken % size, 0)")
-    whole = F.expr("if(size > 0, cast(taken div size as int), 0)")
-    cut = F.array_join(F.slice(F.split(F.regexp_replace(text, f"^[{blank}]+", ""), f"(?<=[{blank}])(?=[{black}])"),
-                               1, F.greatest(F.col("__cut"), F.lit(1)).cast("int")), "")
-    copies = mixed.select(*kept, F.explode(F.concat(
-        F.array_repeat(F.lit(0).cast("long"), whole),
-        F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<long>")))).alias("__cut"), "size", "taken")
-    return copies.withColumn(text, F.when(F.col("__cut") > 0, cut).otherwise(F.col(text))).select(*kept)
-
-
-def take_whole(mixed: DataFrame) -> DataFrame:
-    """The mix itself, of whole documents: every row as often as it is used.
+def whole_uses() -> Column:
+    """How often a document of the mix is used as a whole.
 
     A last partial use counts as a whole one from half the document's words on, and else as none, so
     the words of a source differ from its target by at most half a document for each end of a use.
-    The number of uses never exceeds that of ``mix``'s ``most``. No text is cut.
+    The number of uses never exceeds that of ``mix``'s ``most``.
     """
+    return F.expr("if(size > 0, cast((2 * taken + size) div (2 * size) as int), 0)")
+
+
+def take_whole(mixed: DataFrame) -> DataFrame:
+    """The mix itself, of whole documents: every row as often as it is used. No text is cut."""
     kept = [c for c in mixed.columns if c not in ("size", "taken", "given")]
-    times = F.expr("if(size > 0, cast((2 * taken + size) div (2 * size) as int), 0)")
-    return mixed.select(*[F.col(f"`{c}`") for c in kept], F.explode(F.array_repeat(F.lit(0), times)).alias("__use")).drop("__use")
+    return mixed.select(*[F.col(f"`{c}`") for c in kept],
+                        F.explode(F.array_repeat(F.lit(0), whole_uses())).alias("__use")).drop("__use")

@@ -114,7 +114,8 @@ x AS (
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - d.size AS start
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, round(CAST(target AS DOUBLE), 3) AS target,
-       CAST(greatest(0, least(size, least(want, n) - start)) + greatest(0, least(size, want - n - start)) AS BIGINT) AS taken
+       CAST(CASE WHEN size > 0 THEN size * ((2 * (greatest(0, least(size, least(want, n) - start))
+                                                 + greatest(0, least(size, want - n - start))) + size) // (2 * size)) ELSE 0 END AS BIGINT) AS taken
 FROM x""")
 def op7_min_cost_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -126,7 +127,8 @@ def op7_min_cost_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = spark.createDataFrame([(s, sizes[s], float(want[s])) for s in sizes],
                                   "s string, source_size long, target double")
     return (mixed.join(known, F.col("source").eqNullSafe(F.col("s")))
-            .select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken"))
+            .select("doc_id", "size", "source_size", F.round("target", 3).alias("target"),
+                    (F.col("size") * mixing.whole_uses()).alias("taken")))
 
 
 @query()
@@ -148,7 +150,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
          AS loss_sha256,
        CAST(sum(n + CASE WHEN was = role THEN 5 WHEN role = 'user' THEN 7 WHEN role = 'assistant' THEN 6
-                         ELSE 8 + length(replace(replace(role, '%', '%25'), ']', '%5D')) END
+                         ELSE 8 + length(replace(replace(replace(role, '%', '%25'), '[', '%5B'), ']', '%5D')) END
                   + CASE WHEN next = role THEN 0 WHEN role = 'user' THEN 8 WHEN role = 'assistant' THEN 4
                          ELSE 7 END) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id""")

@@ -111,9 +111,9 @@ def shard(df: DataFrame, shards: int, text: str = "text", key: str = "doc_id") -
     empty text. Rows equal in text and id cannot be told apart and stay together. An empty table
     gives an empty result. Shards differ from an even share by less than one such unit.
     """
-    own = ["k1", "k2", "size", "shard", "slot", "bin", "part", "sub", "hots", "offset"]
-    kept = [c for c in df.columns if c.lower() not in own]
-    keyed = df.select(*[F.col(f"`{c}`") for c in kept], half_key(df[text]).alias("k1"),
+    names = {c: f"__kept{i}" for i, c in enumerate(df.columns) if c.lower() not in ("size", "shard", "slot")}
+    kept = [F.col(n).alias(c) for c, n in names.items()]
+    keyed = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], half_key(df[text]).alias("k1"),
                       half_key(df[key].cast("string")).alias("k2"), text_bytes(df[text]).alias("size"))
     rows = materialize(keyed.select("k1", "k2", "size"), "shard-keys")
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
