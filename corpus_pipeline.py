@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, jaccard, langid, mixing, sharding
-from tidemark.llm.common import table
+from tidemark.llm.common import table, unveiled, veiled
 from tidemark.session import materialize
 
 SHARDS = 16
@@ -17,31 +17,33 @@ SHARDS = 16
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a language that the profiles know; letterless and alien texts go."""
-    profiles = langid.fit_profiles(docs)
-    named = langid.identify(docs.withColumn("__lang", F.col("lang")), profiles)
-    return named.where(langid.accepted()).select(*docs.columns)
+    own, names = veiled(docs)
+    profiles = langid.fit_profiles(own, names["text"], names["lang"])
+    return unveiled(langid.identify(own, profiles, names["text"]).where(langid.accepted()), names)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies."""
-    return jaccard.one_of_each(docs)
+    own, names = veiled(docs)
+    return unveiled(jaccard.one_of_each(own, names["doc_id"], names["text"]), names)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    items = table(spark, sf_dir, "benchmark")
-    return decontaminate.find_items(docs, items).where(F.size("hits") == 0).select(*docs.columns)
+    own, names = veiled(docs)
+    found = decontaminate.find_items(own, table(spark, sf_dir, "benchmark"), names["text"])
+    return unveiled(found.where(F.size("hits") == 0), names)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources near their target weights, of whole documents; a document taken twice has two rows."""
-    sized = docs.withColumn("__words", mixing.word_count(F.col("text")))
-    got = mixing.mix(sized, F.array("source"), F.col("__words"))
-    return mixing.take_whole(got).select(*docs.columns)
+    own, names = veiled(docs)
+    got = mixing.mix(own, F.array(names["source"]), mixing.word_count(F.col(names["text"])), names["doc_id"])
+    return unveiled(mixing.take_whole(got), names)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and its slot in it."""
+    """Every row with its size, its shard and its slot there; columns of these names are replaced."""
     return sharding.shard(docs, SHARDS)
 
 
