@@ -16,6 +16,12 @@ from pyspark.sql import SparkSession
 SHARED = "spark.checkpoint.dir"
 _local_root: list[str] = []
 _made: list[str] = []
+#: How often ``release`` has removed what was written; what is kept by a caller is void after it.
+_releases = [0]
+
+
+def generation() -> int:
+    return _releases[0]
 
 
 def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
@@ -78,6 +84,7 @@ def materialize_all(frames: dict) -> dict:
 def release(spark: SparkSession) -> int:
     """Removes every intermediate written so far; frames that read them are void. Returns how many."""
     n = len(_made)
+    _releases[0] += 1
     while _made:
         path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
