@@ -53,7 +53,7 @@ def test_retrieval_by_text_ids(spark):
 def test_unseen_categories_share_the_last_index(spark):
     fit = spark.createDataFrame([("b",), ("a",), (None,)], "c string")
     df = spark.createDataFrame([("a",), ("b",), ("new",), (None,)], "c string")
-    got = df.select("c", T.category_index(F.col("c"), T.vocabulary(fit, "c")).alias("i"))
+    got = T.encode(df.select("c"), {"c": "i"}, fit)
     assert {r.c: r.i for r in got.collect()} == {"a": 0, "b": 1, "new": 2, None: 2}
 
 
@@ -106,3 +106,14 @@ def test_rolling_totals_as_by_brute_force(spark):
     for k, i, t, _ in data:
         mine = [v for k2, _, t2, v in data if k2 == k and t - dt.timedelta(hours=3) < t2 <= t and v is not None]
         assert (got[i].rolling_sum or 0, got[i].rolling_count) == (sum(mine), len(mine))
+
+
+def test_a_dictionary_of_a_million_values_is_dense_and_in_order(spark):
+    n = 1_000_000
+    df = spark.range(n).select(F.concat(F.lit("k"), F.lpad((F.col("id") * 7919 % n).cast("string"), 7, "0")).alias("c"))
+    d = T.dictionary(df.union(df.limit(1000)).union(spark.createDataFrame([(None,)], "c string")), "c")
+    off = d.where(F.col("position") != F.substring("value", 2, 7).cast("long"))
+    assert d.count() == n and off.count() == 0
+    out = T.encode(df.limit(5).union(spark.createDataFrame([("new",), (None,)], "c string")), {"c": "i"}, df)
+    assert sorted(r.i for r in out.where("c is null or c = 'new'").collect()) == [n, n] and out.count() == 7
+    assert {r.i for r in T.encode(df.limit(3), {"c": "i"}, df.limit(0)).collect()} == {0}

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.request import FeatureFunction, apply_functions
 from ..operators.asof import asof_join, asof_join_many, lookup_latest
 from ..operators.orderstats import interpolated
+from ..session import materialize
 from ..sources.changes import schema_rows
 
 RAIL_LABEL_SIDE = ["rail_position", "was_viewport", "sample_weight"]
@@ -140,16 +141,32 @@ def pit_report(labels: DataFrame, snapshots: DataFrame, keys: list[str], value:
 
 
 # ---------------------------------------------------------------- encodings
-def vocabulary(df: DataFrame, column: str) -> Column:
-    """Sorted distinct values of a categorical column as an array."""
-    d = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct()
-    return d.agg(F.array_sort(F.collect_set("v"))).scalar()
+def dictionary(df: DataFrame, column: str) -> DataFrame:
+    """(value, position) of the distinct non-null values of a column, positions dense and in value order.
 
-
-def category_index(column: Column, vocab: Column) -> Column:
-    """Position in the vocabulary; unseen and null values share the index after the last."""
-    pos = F.array_position(vocab, column)
-    return F.when(pos > 0, pos - 1).otherwise(F.size(vocab)).cast("bigint")
+    Values are cut into ranges; a position is the count of the ranges before plus the place inside its
+    own, so nothing orders all values in one task and no array of them is built.
+    """
+    d = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
+    # Stored, because ranges are drawn from a sample and a rerun may cut elsewhere.
+    cut = materialize(d.repartitionByRange("value").withColumn("_range", F.spark_partition_id()), "dictionary")
+    sizes = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("value"))
+    return (cut.withColumn("_place", place).join(before, "_range")
+            .select("value", (F.col("_before") + F.col("_place") - 1).alias("position")))
+
+
+def encode(df: DataFrame, columns: dict[str, str], fit_on: DataFrame) -> DataFrame:
+    """``df`` with an index for each categorical column (column -> name of its index) from the values of
+    ``fit_on``; unseen and null values share the index after the last."""
+    out = df
+    for column, name in columns.items():
+        known = materialize(dictionary(fit_on, column), "dictionary-positions")
+        size = known.agg(F.count(F.lit(1)).alias("n"))
+        out = (out.join(known.select(F.col("value").alias(column), F.col("position").alias(name)), column, "left")
+               .withColumn(name, F.coalesce(F.col(name), size.scalar()).cast("bigint")))
+    return out.select(*df.columns, *columns.values())
 
 
 def standardize(df: DataFrame, fit_on: DataFrame, columns: list[str], suffix: str = "_z") -> DataFrame:

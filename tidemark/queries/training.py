@@ -297,9 +297,7 @@ def type_contract(spark, d):
 def category_encoding(spark, d):
     imp = I.impressions(spark, d).select("session_id", "rail_position", "rail_id", "device", "rendered_ts")
     fit = T.temporal_split(imp, "rendered_ts", 10).where("split = 'train'")
-    return imp.select("session_id", "rail_position", "rail_id", "device",
-                      T.category_index(F.col("rail_id"), T.vocabulary(fit, "rail_id")).alias("rail_index"),
-                      T.category_index(F.col("device"), T.vocabulary(fit, "device")).alias("device_index"))
+    return T.encode(imp.drop("rendered_ts"), {"rail_id": "rail_index", "device": "device_index"}, fit)
 
 
 @query(with_("imp", more="""cut AS (SELECT max(rendered_ts) - INTERVAL 10 DAY AS c FROM imp),
