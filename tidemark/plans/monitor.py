@@ -215,6 +215,22 @@ def drift_report(pins: DataFrame, recorded: DataFrame, now: DataFrame) -> DataFr
     return g.select("model", "tables", "functions", "missing", "changed", status.alias("status"))
 
 
+def spec_hashes(pins: DataFrame, now: DataFrame) -> DataFrame:
+    """Per model twelve hex digits each of its shape (which objects it pins), of its tables' and of its
+    functions' definitions now; a missing object counts as ``-``.
+
+    A model whose shape stays while a definition hash moves reads the same objects, redefined.
+    """
+    def over(text, on=None):
+        some = F.collect_set(text if on is None else F.when(on, text))
+        return F.substring(F.sha2(F.array_join(F.array_sort(some), ","), 256), 1, 12)
+    defined = F.concat_ws("=", "object", F.coalesce("fingerprint", F.lit("-")))
+    return pins.join(now, "object", "left").groupBy("model").agg(
+        over(F.concat_ws(":", "kind", "object")).alias("spec_hash"),
+        over(defined, F.col("kind") == "table").alias("table_hash"),
+        over(defined, F.col("kind") == "function").alias("function_hash"))
+
+
 def pins_index(pins: DataFrame) -> DataFrame:
     """Which models break if an object changes."""
     return pins.groupBy("object").agg(F.count_distinct("model").alias("models"),

@@ -1,5 +1,6 @@
 """Streaming queries, drained to completion over the event table."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..operators.windows import trailing
@@ -41,6 +42,28 @@ def stream_session_replayed(spark, d):
     return sink.current()
 
 
+def resumed(spark, d):
+    """The log in six files, two to a batch; the run fails in its second batch and is started again."""
+    ev = I.table(spark, d, "events")
+    folder = scratch_dir(spark, "event-files")
+    ev.repartitionByRange(6, "ts").write.parquet(folder)
+    sink, ck = drained(spark, d)
+    stream = lambda: session_aggregate(I.shape_events(read_stream(spark, folder, ev.schema, files_per_batch=2)))
+    try:
+        sink.drain(stream(), ck, lose_batch=1)
+        raise AssertionError("the second batch should have failed")
+    except StreamingQueryException:
+        pass
+    return sink, sink.drain(stream(), ck)
+
+
+@query(with_("ev") + BATCH)
+def stream_session_resumed(spark, d):
+    """Several micro-batches, one of them lost after its rows were written and done again after a restart
+    from the same checkpoint: the keyed table is as if nothing had happened."""
+    return resumed(spark, d)[0].current()
+
+
 @query(with_("ev") + "SELECT count(DISTINCT viewer_id) AS keys_seen, count(DISTINCT viewer_id) AS rows_after_compaction, true AS lags_ordered FROM ev")
 def stream_freshness(spark, d):
     """Event-to-visible delays of a drained stream: every key was seen, no delay is negative."""

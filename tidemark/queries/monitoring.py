@@ -248,6 +248,22 @@ def pins_index(spark, d):
     return O.pins_index(pin_frames(spark, d)[0])
 
 
+def _hash_sql(text, kind=None):
+    on = f" FILTER (kind='{kind}')" if kind else ""
+    return f"substr(sha256(coalesce(string_agg(DISTINCT {text}, ',' ORDER BY {text}){on}, '')), 1, 12)"
+
+
+_DEFINED = "object||'='||coalesce(fingerprint,'-')"
+
+
+@query("WITH " + PINS + f""" SELECT model, {_hash_sql("kind||':'||object")} AS spec_hash, {_hash_sql(_DEFINED, 'table')} AS table_hash,
+  {_hash_sql(_DEFINED, 'function')} AS function_hash FROM pins LEFT JOIN now_ USING (object) GROUP BY 1""")
+def spec_hashes(spark, d):
+    """The shape that each model pinned, and the definitions of its tables and functions, hashed apart."""
+    pins, _, now = pin_frames(spark, d)
+    return O.spec_hashes(pins, now)
+
+
 @query("""WITH defs AS (SELECT unnest(['o_orderkey:bigint','o_custkey:bigint','o_orderstatus:string','o_totalprice:double','o_orderdate:timestamp_ntz','o_orderpriority:string']) AS s)
 SELECT 'orders' AS object, substr(sha256(string_agg(s, ',' ORDER BY s)),1,12) AS fingerprint FROM defs WHERE (SELECT count(*) FROM orders)>0""")
 def schema_fingerprint(spark, d):

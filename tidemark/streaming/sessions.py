@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,6 +13,9 @@ from ..operators.orderstats import interpolated
 from ..plans.features import recent_behavior
 
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def read_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet",
                 files_per_batch: int | None = None) -> DataFrame:
     """File-drop stream with an explicit schema."""
@@ -54,8 +58,14 @@ class KeyedSink:
         last = self.spark.read.parquet(f"{self.root}/rows").agg(F.max("generation")).first()[0]
         return int(last) if self._exists(f"{checkpoint}/metadata") else int(last) + 1
 
-    def drain(self, aggregate: DataFrame, checkpoint: str) -> None:
-        """Process everything available now, then stop. Only changed viewers are emitted."""
+    def drain(self, aggregate: DataFrame, checkpoint: str, lose_batch: int | None = None) -> list[dict]:
+        """Process everything available now, then stop. Only changed viewers are emitted.
+
+        Returns the progress reports. State is kept in RocksDB, so it may outgrow an executor's heap.
+        ``lose_batch`` is for recovery drills: the run fails after that batch's rows are written and
+        before it is committed, so the next run from the same checkpoint does it again.
+        """
+        self._heal()
         generation = self._generation(checkpoint)
 
         def write(batch: DataFrame, batch_id: int) -> None:
@@ -68,12 +78,27 @@ class KeyedSink:
                  .withColumn("visible_epoch_ms", F.lit(done))
                  .write.mode("overwrite").parquet(f"{self.root}/visible/{at}"))
             batch.unpersist()
+            if batch_id == lose_batch:
+                raise RuntimeError(f"batch {batch_id} is lost")
 
+        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
         q = (aggregate.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).foreachBatch(write).start())
         q.awaitTermination()
+        return [json.loads(p.json) for p in q.recentProgress]
+
+    def _fs(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _heal(self) -> None:
+        """Finishes a compaction that was broken off between its two renames."""
+        fs, rows = self._fs("rows")
+        if not fs.exists(rows) and self._exists(f"{self.root}/compacted/_SUCCESS"):
+            fs.rename(self._fs("compacted")[1], rows)
 
     def rows(self) -> DataFrame:
+        self._heal()
         return self.spark.read.parquet(f"{self.root}/rows")
 
     def visible(self) -> DataFrame:
@@ -85,16 +110,18 @@ class KeyedSink:
     def compact(self) -> None:
         """Rewrites what ``current`` shows as one row per key; to be run between drains.
 
-        The new folder takes the place of the old one only when it is complete.
+        The old folder is moved away, not deleted, before the complete new one takes its place, and a
+        run that is broken off in between is finished by the next reader or drain.
         """
-        rows = self.rows()
-        newest = rows.agg(F.max("generation")).first()[0]
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
-        new, old = f"{self.root}/compacted", f"{self.root}/rows"
-        self.current().write.mode("overwrite").parquet(f"{new}/generation={newest}/batch=-1")
-        fs = fs_path(old).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.delete(fs_path(old), True)
-        fs.rename(fs_path(new), fs_path(old))
+        newest = self.rows().agg(F.max("generation")).first()[0]
+        (self.current().withColumns({"generation": F.lit(newest), "batch": F.lit(-1)}).write.mode("overwrite")
+         .partitionBy("generation", "batch").parquet(f"{self.root}/compacted"))
+        fs, rows = self._fs("rows")
+        _, away = self._fs("replaced")
+        fs.delete(away, True)
+        fs.rename(rows, away)
+        fs.rename(self._fs("compacted")[1], rows)
+        fs.delete(away, True)
 
     def freshness(self) -> DataFrame:
         """Event-to-visible delay percentiles over batches, in milliseconds."""
