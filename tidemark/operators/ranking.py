@@ -15,7 +15,3 @@ def top_per_group(df: DataFrame, by: list[str], order: list[Column], k: int, out
     of any size sends at most ``k`` rows per map task."""
     return ranked(df, by, order, out).where(F.col(out) <= k)
 
-
-def pre_ranked_top(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """Global first ``k`` rows without a full sort."""
-    return df.orderBy(*order).limit(k)

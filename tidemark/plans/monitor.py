@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.intervals import interval_join
 from ..operators.orderstats import floor_rank, interpolated, nearest_rank, order_statistics
 
 REQUEST = ("dataframe_records array<struct<viewer_id string, title_id string, surface string, "
@@ -148,12 +149,10 @@ def priced_usage(usage: DataFrame, prices: DataFrame) -> DataFrame:
     interval is closed at its start and open at its end, and a null end never expires.
     """
     u = usage.groupBy("sku_name", "usage_date", "usage_end_time").agg(F.sum("usage_quantity").alias("q"))
-    valid = ((F.col("u.sku_name") == F.col("p.sku_name"))
-             & (F.col("u.usage_end_time") >= F.col("p.price_start_time"))
-             & (F.col("p.price_end_time").isNull() | (F.col("u.usage_end_time") < F.col("p.price_end_time"))))
-    j = u.alias("u").join(prices.alias("p"), valid)
-    return j.groupBy("u.usage_date", "u.sku_name").agg(
-        F.round(F.sum("q"), 2).alias("units"), F.round(F.sum(F.col("q") * F.col("p.price")), 2).alias("list_cost"))
+    j = interval_join(u, prices.select("sku_name", "price_start_time", "price_end_time", "price"), ["sku_name"],
+                      "usage_end_time", "price_start_time", "price_end_time")
+    return j.groupBy("usage_date", "sku_name").agg(
+        F.round(F.sum("q"), 2).alias("units"), F.round(F.sum(F.col("q") * F.col("price")), 2).alias("list_cost"))
 
 
 def latest_status(log: DataFrame) -> DataFrame:
