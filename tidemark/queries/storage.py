@@ -10,6 +10,7 @@ from ..sources.tables import BucketedTable, export_training_set, read_table, wri
 from .base_sql import r, with_
 from .ranking import SCORE, SCORED, STATE, scored_pairs
 from .registry import query
+from .training import rail_label_frame
 
 #: Buckets of the queries' keyed tables; a large table takes one for every few hundred MB.
 BUCKETS = 16
@@ -173,8 +174,10 @@ def partitioned_append_roundtrip(spark, d):
 @query(with_("imp") + f"""SELECT engaged, count(*) AS rows, {r('avg(p)', 6)} AS mean_position FROM (SELECT viewer_id, rail_id, session_id, max(engaged) AS engaged, min(rail_position) AS p FROM imp GROUP BY 1,2,3) GROUP BY 1""")
 def exported_training_set(spark, d):
     key = ["viewer_id", "rail_id", "session_id"]
-    one = I.impressions(spark, d).groupBy(*key).agg(F.max("engaged").alias("engaged"), F.min("rail_position").alias("p"))
-    path = export_training_set(one.select(*key, "engaged"), scratch_dir(spark, "export"), one.select(*key, "p"), key)
+    # The rows come from the labels, what is attached from the raw impressions.
+    rows = rail_label_frame(spark, d).groupBy(*key).agg(F.max("engaged").alias("engaged"))
+    side = I.impressions(spark, d).groupBy(*key).agg(F.min("rail_position").alias("p"))
+    path = export_training_set(rows, scratch_dir(spark, "export"), side, key)
     return read_table(spark, path).groupBy("engaged").agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.avg("p"), 6).alias("mean_position"))
 

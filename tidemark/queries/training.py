@@ -243,11 +243,15 @@ def newest_labels(spark, d):
 @query(with_("imp", "prop", more=RLAB) + """, u AS (SELECT viewer_id, rail_id, request_epoch_s, min(rail_position) AS rail_position,
   max(engaged) AS engaged, max(sample_weight) AS sample_weight FROM rlab GROUP BY 1,2,3) SELECT * FROM u""")
 def reattached_label_side(spark, d):
+    """Features' rows get position and weight back from a frame of the raw impressions, built on its own."""
     key = ["viewer_id", "rail_id", "request_epoch_s"]
-    one = rail_label_frame(spark, d).groupBy(*key).agg(
-        F.min("rail_position").alias("rail_position"), F.max("engaged").alias("engaged"),
-        F.max("sample_weight").alias("sample_weight"))
-    return T.reattach(one.select(*key, "engaged"), one.select(*key, "rail_position", "sample_weight"), key)
+    frame = rail_label_frame(spark, d).groupBy(*key).agg(F.max("engaged").alias("engaged"))
+    imp = I.impressions(spark, d)
+    weight = F.when(F.col("engaged") == 1, F.col("ips_weight")).otherwise(F.lit(1.0))
+    side = (imp.join(P.position_propensity(imp).select("rail_position", "ips_weight"), "rail_position")
+            .groupBy("viewer_id", "rail_id", F.unix_timestamp("rendered_ts").alias("request_epoch_s"))
+            .agg(F.min("rail_position").alias("rail_position"), F.max(weight).alias("sample_weight")))
+    return T.reattach(frame, side, key)
 
 
 def _missing_rates_sql():
