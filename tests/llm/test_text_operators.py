@@ -327,6 +327,25 @@ def test_blocks_find_every_fingerprint_within_the_radius():
     assert set(zip(place.tolist(), one.tolist())) == want
 
 
+def test_recall_of_edited_items_against_brute_force():
+    """Items with one to four words substituted, dropped or put in, amid other words."""
+    rng = random.Random(21)
+    items = [(i, words(rng, rng.randint(12, 120))) for i in range(60)]
+    scanner = decontaminate.Scanner(items)
+    wanted = found = 0
+    for i, text in items:
+        for edits in (1, 2, 3, 4):
+            w = text.split()
+            for _ in range(edits):
+                at, how = rng.randrange(len(w)), rng.choice("sdi")
+                w[at:at + (how != "i")] = [] if how == "d" else [words(rng, 1)]
+            doc = " ".join([words(rng, 30), *w, words(rng, 30)])
+            if (0, i) in brute_items([(0, doc)], [(i, text)]):
+                wanted += 1
+                found += any(h["item_id"] == i for h in scanner.scan([doc])[0])
+    assert wanted > 80 and found >= 0.97 * wanted, (wanted, found)
+
+
 # --- subword lattice --------------------------------------------------------------------------
 
 
