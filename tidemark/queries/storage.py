@@ -105,14 +105,27 @@ def latest_data_version(spark, d):
     return C.latest_data_version(h, ["table_id"])
 
 
-@query("""SELECT * FROM (VALUES ('l_quantity','double','removed'), ('l_quantity','bigint','added'), ('l_tax','double','removed'), ('rows_seen','bigint','added')) t(column_name, data_type, change)
-  WHERE (SELECT count(*) FROM lineitem) > 0""")
+@query(with_("ev") + """SELECT 'event_type' AS column_name, 'string' AS data_type, 'removed' AS change, count(event_type) AS non_null FROM ev
+UNION ALL SELECT 'watch_seconds', 'bigint', 'removed', count(*) FILTER (event_type <> 'skip') FROM ev
+UNION ALL SELECT 'watch_seconds', 'double', 'added', count(*) FILTER (event_type <> 'skip') FROM ev
+UNION ALL SELECT 'played', 'int', 'added', count(played) FROM ev""")
 def schema_difference(spark, d):
-    li = I.table(spark, d, "lineitem")
-    new = (li.drop("l_tax").withColumn("l_quantity", F.col("l_quantity").cast("bigint"))
-           .withColumn("rows_seen", F.lit(1).cast("bigint")))
-    alive = li.limit(1).select(F.lit(1).alias("one"))
-    return C.schema_difference(li, new).where(alive.agg(F.count("one")).scalar() > 0)
+    """Columns added and removed between two stored versions of a table, with the values they hold there."""
+    ev = I.events(spark, d).withColumn("watch_seconds", F.when(F.col("event_type") != "skip", F.col("watch_seconds")))
+    versions = {"removed": ev.select("event_id", "event_type", "watch_seconds"),
+                "added": ev.select("event_id", F.col("watch_seconds").cast("double").alias("watch_seconds"), "played")}
+    stored = {}
+    for change, df in versions.items():
+        path = scratch_dir(spark, f"version-{change}")
+        write_table(df, path)
+        stored[change] = read_table(spark, path)
+    counts = None
+    for change, t in stored.items():
+        row = t.agg(*[F.count(c).alias(c) for c in t.columns]).unpivot([], t.columns, "column_name", "non_null").withColumn(
+            "change", F.lit(change))
+        counts = row if counts is None else counts.unionByName(row)
+    return C.schema_difference(stored["removed"], stored["added"]).join(counts, ["column_name", "change"]).select(
+        "column_name", "data_type", "change", "non_null")
 
 
 _FORMULA = """(SELECT viewer_id, rail_id, row_number() OVER (PARTITION BY viewer_id ORDER BY (seconds % (17 + editorial_rank)) / events DESC, rail_id) AS rail_rank
