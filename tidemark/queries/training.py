@@ -285,12 +285,15 @@ def column_taxonomy(spark, d):
     return T.column_status(s, RAIL_COLUMN_ROLES).join(counts, "column_name", "left")
 
 
-@query(with_("imp") + "SELECT count(*) AS rows_checked, 0 AS offending_columns FROM (SELECT DISTINCT viewer_id, rail_id FROM imp)")
+@query(with_("imp", "vrf") + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, typeof(any_value({c})) = 'DOUBLE' AS is_double, count({c}) AS non_null FROM vrf" for c in VIEWER_RAIL_FEATURES))
 def type_contract(spark, d):
-    v = P.viewer_rail_features_ts(I.impressions(spark, d), dense=False)
-    bad = len(T.non_double_columns(v, ["viewer_id", "rail_id", "ts"]))
-    return (v.select("viewer_id", "rail_id").distinct()
-            .agg(F.count(F.lit(1)).alias("rows_checked"), F.lit(bad).alias("offending_columns")))
+    """Every feature of the stored viewer-rail table is a double, and how many values it holds."""
+    v = materialize(P.viewer_rail_features_ts(I.impressions(spark, d)), "viewer-rail-features")
+    bad = [c for c, _ in T.non_double_columns(v, ["viewer_id", "rail_id", "ts"])]
+    return (v.agg(*[F.count(c).alias(c) for c in VIEWER_RAIL_FEATURES])
+            .unpivot([], VIEWER_RAIL_FEATURES, "column_name", "non_null")
+            .select("column_name", (~F.col("column_name").isin(["", *bad])).alias("is_double"), "non_null"))
 
 
 @query(with_("imp", more="""cut AS (SELECT max(rendered_ts) - INTERVAL 10 DAY AS c FROM imp),
