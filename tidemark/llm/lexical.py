@@ -20,7 +20,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize, scratch_dir
 from .common import raw, runs
@@ -194,7 +194,7 @@ def _block(texts: DataFrame, rows: list, k: int) -> DataFrame:
 
 
 def rank(docs: DataFrame, items: DataFrame, k: int = 20, key: str = "doc_id", text: str = "text",
-         item_id: str = "item_id", item_text: str = "text", where: Column | None = None) -> DataFrame:
+         item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(item_id, rank, doc_id, score) of the k best documents of each item, of those with a score above 0.
 
     Every document row is one document; without terms (null, empty, marks only) it takes no part. A
@@ -205,8 +205,7 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 20, key: str = "doc_id", te
     """
     asked = (items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
              .where("text is not null").groupBy("item_id").agg(F.min("text").alias("text")))
-    texts = docs if where is None else docs.where(where)
-    texts = texts.select(F.col(key).cast("long").alias("doc_id"), raw(F.col(text)).alias("text"))
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), raw(F.col(text)).alias("text"))
     total = asked.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_BYTES))
     if blocks == 1:
