@@ -68,3 +68,13 @@ def test_daily_title_snapshots_equal_the_single_instant_build(spark, sf):
     one = P.title_features(ti, ev, F.lit(at))
     day = P.title_features_ts(ti, ev).where(F.col("ts") == F.lit(at)).drop("ts")
     assert one.select(day.columns).exceptAll(day).count() == 0
+
+
+def test_the_catalogue_is_not_sent_through_the_driver(spark, sf):
+    """A million titles are a few MB as a file and a few hundred as rows, so they meet the log by shuffle."""
+    ev, ti = I.events(spark, sf), I.titles(spark, sf)
+    clock = P.data_clock(ev)
+    for df, sent in ((P.viewer_features_ts(ev, ti), 0), (P.recent_behavior_ts(ev, ti), 0), (P.recent_behavior(ev, ti, clock), 0),
+                     (P.genre_affinity_through(ev, ti, clock), 0), (P.title_features_ts(ti, ev), 1)):
+        joins = [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Join [" in x]
+        assert sum("BroadcastHashJoin" in x for x in joins) == sent and sum("SortMergeJoin" in x for x in joins) == 1

@@ -16,6 +16,12 @@ def _day() -> Column:
     return F.expr("INTERVAL 1 DAY")
 
 
+def _spread(titles: DataFrame) -> DataFrame:
+    """Titles for a join by shuffle. The catalogue grows with the log, and the size of its compressed
+    file, by which Spark would send it through the driver, is a small part of its rows' size there."""
+    return titles.hint("merge")
+
+
 def data_clock(events: DataFrame, fallback: str | None = None) -> Column:
     """Newest event time as a scalar, else end of the ``fallback`` day."""
     top = events.agg(F.max("event_ts")).scalar()
@@ -30,7 +36,7 @@ def viewer_daily_facts(events: DataFrame, titles: DataFrame) -> DataFrame:
     w = events.where(F.col("watch_seconds") > 0)
     sin, cos = angle_parts(F.hour("event_ts"))
     ws = F.col("watch_seconds")
-    return (w.join(titles.select("title_id", "primary_genre"), "title_id", "left")
+    return (w.join(_spread(titles.select("title_id", "primary_genre")), "title_id", "left")
             .groupBy("viewer_id", F.to_date("event_ts").alias("day"))
             .agg(F.sum(ws).alias("seconds"), F.count("event_id").alias("plays"),
                  F.count_if(F.col("event_type") == "skip").alias("skips"),
@@ -76,7 +82,7 @@ def genre_affinity_through(events: DataFrame, titles: DataFrame, through: Column
     listed genres gets the uniform share.
     """
     w = events.where((F.col("event_ts") <= through) & (F.col("watch_seconds") > 0))
-    g = (w.join(titles.select("title_id", "primary_genre"), "title_id", "left")
+    g = (w.join(_spread(titles.select("title_id", "primary_genre")), "title_id", "left")
          .groupBy("viewer_id").pivot("primary_genre", GENRES).agg(F.sum("watch_seconds"))
          .na.fill(0, GENRES))
     total = sum((F.col(x) for x in GENRES[1:]), F.col(GENRES[0]))
@@ -124,7 +130,8 @@ def title_features_ts(titles: DataFrame, events: DataFrame) -> DataFrame:
                      day_range(events, "event_ts"), entities=titles)
     top = r.groupBy("day").agg(F.max("plays").alias("_top"))
     ts = (F.col("day").cast("timestamp") + _day())
-    j = r.join(top, "day").join(titles, "title_id")
+    # One row a day goes to every task, so the dense table stays dealt by title.
+    j = r.join(F.broadcast(top), "day").join(_spread(titles), "title_id")
     return j.select("title_id", ts.alias("ts"),
                     *_title_columns(titles, ts, F.col("plays"), F.col("_top"))
                     ).select("title_id", "ts", *TITLE_FEATURES)
@@ -144,7 +151,7 @@ def _recent_by_title(win: DataFrame, keys: list[str]) -> DataFrame:
 def _recent_columns(agg: DataFrame, titles: DataFrame, keys: list[str]) -> DataFrame:
     g = titles.select(F.col("title_id").alias("_title"), "primary_genre")
     c = F.col
-    return agg.join(g, "_title", "left").select(
+    return agg.join(_spread(g), "_title", "left").select(
         *keys,
         F.round(F.coalesce(c("_s"), F.lit(0)) / 60.0, 2).alias("minutes_watched_24h"),
         F.coalesce(c("_k"), F.lit(0)).cast("bigint").alias("skips_24h"),
