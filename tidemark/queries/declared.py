@@ -1,5 +1,7 @@
 """Declared-feature queries."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..operators import declared as D
@@ -183,9 +185,10 @@ def _attached_sql():
 @query(with_("ev") + ", l AS (SELECT event_id, viewer_id, title_id, event_ts AS label_ts, played FROM ev WHERE event_type='impression') "
        + _attached_sql())
 def declared_training_set(spark, d):
-    """All twelve declared features at each label; the sketched counts are exact at these sizes."""
+    """All twelve declared features at each label, distinct counts exact."""
     ev = I.events(spark, d)
-    tables = D.windowed_features(ev, VIEWER_SPECS + TITLE_SPECS, "event_ts", "event_id")
+    specs = [replace(s, operator=D.EXACT_DISTINCT) if s.operator == "ApproxCountDistinct" else s for s in VIEWER_SPECS + TITLE_SPECS]
+    tables = D.windowed_features(ev, specs, "event_ts", "event_id")
     lab = T.title_labels(ev).select("event_id", "viewer_id", "title_id", "label_ts", "played")
     s = D.declared_training_set(lab, tables, "label_ts")
     return s.withColumn("fv_avg_watch_seconds_7d", F.round("fv_avg_watch_seconds_7d", 6)).drop("viewer_id", "title_id")
