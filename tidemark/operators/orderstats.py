@@ -92,6 +92,11 @@ def floor_rank(q: float) -> Callable[[Column], Column]:
     return lambda n: F.least(n - 1, F.floor(F.lit(q) * n))
 
 
+def disc_rank(percent: int) -> Callable[[Column], Column]:
+    """Index of the first value with at least ``percent`` of the group up to it (the SQL ``percentile_disc``)."""
+    return lambda n: F.greatest(F.lit(0), F.ceil(n * percent / 100) - 1)
+
+
 def interpolated(df: DataFrame, by: list[str], value: str, qs: dict[str, float]) -> DataFrame:
     """Linear-interpolated percentiles (the exact SQL ``percentile``)."""
     idx = {}

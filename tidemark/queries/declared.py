@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import declared as D
 from ..operators.asof import latest_per_key
+from ..operators.orderstats import disc_rank, order_statistics
 from ..plans import training as T
 from ..session import scratch_dir
 from ..sources import inputs as I
@@ -133,21 +134,29 @@ def declared_distinct_lists(spark, d):
     return t.withColumns({c: F.array_join(c, ",") for c in ("first_kinds", "last_kinds")})
 
 
-@query(with_("ev") + f"""SELECT viewer_id, ts, count(*) AS events, true AS p50_near, true AS p90_near, true AS in_order FROM ({ends(7 * DAY, DAY)}) GROUP BY 1,2""")
+@query(with_("ev") + f"""SELECT viewer_id, ts, count(*) AS events, quantile_disc(watch_seconds, 0.5) AS p50, quantile_disc(watch_seconds, 0.9) AS p90, true AS p50_near, true AS p90_near, true AS in_order FROM ({ends(7 * DAY, DAY)}) GROUP BY 1,2""")
 def declared_approx_percentile(spark, d):
-    """Sketched percentiles of every window: their exact ranks are within the stated error."""
+    """Percentiles of every window with as many rows as its sketch holds, which is exact up to there; those of
+    larger windows by exact ranks. Every sketch's percentiles have exact ranks within the stated error."""
     ev = I.events(spark, d)
     specs = [D.FeatureSpec("p50", "ApproxPercentile", "watch_seconds", VIEWER, 7 * DAY, DAY, q=0.5),
-             D.FeatureSpec("p90", "PercentileApprox", "watch_seconds", VIEWER, 7 * DAY, DAY, q=0.9)]
+             D.FeatureSpec("p90", "PercentileApprox", "watch_seconds", VIEWER, 7 * DAY, DAY, q=0.9),
+             D.FeatureSpec("n", "Count", "watch_seconds", VIEWER, 7 * DAY, DAY)]
     t = D.windowed_features(ev, specs, "event_ts", "event_id")[(VIEWER, 7 * DAY, DAY)]
     every = (ev.withColumn("_e", D._ends(F.unix_timestamp("event_ts"), 7 * DAY, DAY))
              .select("viewer_id", F.timestamp_seconds("_e").alias("ts"), "watch_seconds"))
     n, x = F.count(F.lit(1)), F.col("watch_seconds")
     near = lambda p, q: ((F.count_if(x < F.col(p)) <= (q + D.RANK_ERROR) * n)
                          & (F.count_if(x <= F.col(p)) >= (q - D.RANK_ERROR) * n))
-    return every.join(t, ["viewer_id", "ts"], "left").groupBy("viewer_id", "ts").agg(
-        n.alias("events"), F.coalesce(near("p50", 0.5), F.lit(False)).alias("p50_near"),
+    keys = ["viewer_id", "ts"]
+    large = every.join(t.where(F.col("n") > D.SKETCH).select(*keys), keys, "left_semi")
+    exact = order_statistics(large, keys, "watch_seconds", {"x50": disc_rank(50), "x90": disc_rank(90)}).drop("n")
+    sketched = every.join(t, keys, "left").groupBy(*keys).agg(
+        n.alias("events"), F.max("p50").alias("p50"), F.max("p90").alias("p90"), F.coalesce(near("p50", 0.5), F.lit(False)).alias("p50_near"),
         F.coalesce(near("p90", 0.9), F.lit(False)).alias("p90_near"), F.bool_and(F.col("p50") <= F.col("p90")).alias("in_order"))
+    return sketched.join(exact, keys, "left").select(
+        *keys, "events", F.coalesce("x50", F.col("p50").cast("bigint")).alias("p50"),
+        F.coalesce("x90", F.col("p90").cast("bigint")).alias("p90"), "p50_near", "p90_near", "in_order")
 
 
 @query(with_("ev") + f"""SELECT viewer_id, event_ts, event_id, CAST(sum(watch_seconds) OVER w AS BIGINT) AS rolling_sum, count(*) OVER w AS rolling_count, {r('avg(watch_seconds) OVER w', 6)} AS rolling_avg
