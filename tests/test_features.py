@@ -78,3 +78,19 @@ def test_the_catalogue_is_not_sent_through_the_driver(spark, sf):
                      (P.genre_affinity_through(ev, ti, clock), 0), (P.title_features_ts(ti, ev), 1)):
         joins = [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Join [" in x]
         assert sum("BroadcastHashJoin" in x for x in joins) == sent and sum("SortMergeJoin" in x for x in joins) == 1
+
+
+def test_rail_members_go_to_the_stored_titles(spark, sf):
+    """The members of sixteen rails are few; the titles' snapshots must not be what is sent to every task."""
+    from tidemark.session import materialize
+    ev, ti, imp, rails = I.events(spark, sf), I.titles(spark, sf), I.impressions(spark, sf), I.rails(spark)
+    stored = materialize(P.title_features_ts(ti, ev), "title-features")
+    members = P.rail_title_map(ti, rails, P.data_clock(ev))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = P.rail_features_ts(imp, rails, members, stored)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    joins = [x for x in plan.split("\n") if "Join [title_id" in x]
+    assert joins and all("BroadcastHashJoin" in x and "BuildRight" in x for x in joins)
