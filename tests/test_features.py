@@ -94,3 +94,47 @@ def test_rail_members_go_to_the_stored_titles(spark, sf):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     joins = [x for x in plan.split("\n") if "Join [title_id" in x]
     assert joins and all("BroadcastHashJoin" in x and "BuildRight" in x for x in joins)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dense_days_are_dealt_out_behind_the_windows(spark, sf):
+    """Only days on which a window changes are shuffled and ordered; the grid comes last."""
+    plan = _plan(P.viewer_rail_features_ts(I.impressions(spark, sf))).split("(1) Scan")[0]
+    assert "Generate explode(sequence(" in plan and plan.index("Generate explode(sequence(") < plan.index("Window")
+    below = plan[plan.rindex("Window"):]
+    assert below.index("Generate") < below.index("Exchange hashpartitioning(viewer_id")
+
+
+def test_rolling_days_with_gaps_unknown_keys_and_idle_entities(spark):
+    from datetime import date, timedelta
+    from tidemark.operators.windows import rolling_days
+    day = lambda n: date(2024, 1, 1) + timedelta(n)
+    facts = [("a", -1, 5), ("a", 2, 7), ("a", 9, 1), ("b", 0, 2), ("x", 3, 100)]
+    present = [0, 1, 2, 5, 9, 10]
+    df = spark.createDataFrame([(k, day(n), v) for k, n, v in facts], "k string, day date, v bigint")
+    days = F.array(*[F.lit(day(n)) for n in present])
+    own = spark.createDataFrame([("a",), ("b",), ("idle",)], "k string")
+    specs = [("s3", "v", "sum", 3), ("all", "v", "max", None)]
+    want = lambda keys: sorted((k, day(d), sum(v for g, n, v in facts if g == k and d - 3 < n <= d),
+                                max([v for g, n, v in facts if g == k and n <= d], default=None))
+                               for k in keys for d in present)
+    got = lambda e: sorted(tuple(r) for r in rolling_days(df, ["k"], "day", specs, days, entities=e).select("k", "day", "s3", "all").collect())
+    key = lambda rows: sorted(map(str, rows))
+    assert key(got(own)) == key(want(["a", "b", "idle"])) and key(got(None)) == key(want(["a", "b", "x"]))
+
+
+def test_impressions_meet_the_catalogue_by_shuffle(spark, sf):
+    """A million titles must not be collected by the driver to be sent to every task."""
+    plan = _plan(I.impressions(spark, sf))
+    assert "l_partkey" in plan and not [x for x in plan.split("\n") if "BroadcastHashJoin" in x and "l_partkey" in x]
+
+
+def test_snapshots_of_few_titles_keep_the_maximum_over_all(spark, sf):
+    ev, ti = I.events(spark, sf), I.titles(spark, sf)
+    few = ti.where("title_id % 7 = 3").select("title_id")
+    whole = P.title_features_ts(ti, ev).join(few, "title_id", "left_semi").persist()
+    some = P.title_features_ts(ti, ev, only=few).persist()
+    assert some.count() == whole.count() > 0 and some.exceptAll(whole).count() == 0

@@ -40,26 +40,30 @@ def rolling_days(facts: DataFrame, keys: list[str], day: str,
     """Rolling calendar-day aggregates from facts pre-aggregated to (keys, day).
 
     ``specs`` lists (output, fact column, "sum" or "max", days or None for all history).
-    Grid rows and fact rows are unioned and windowed together: one shuffle on ``keys``, no
-    join, and at most two rows per key and day, so a hot key is bounded by the calendar.
+    Only facts cross the shuffle on ``keys``. Behind it a fact also stands on the days on which it
+    leaves a window, and windows are ordered over these days alone; a day between two of them has
+    the values of the earlier one, so the dense days are dealt out last and never ordered. A hot key
+    is bounded by the calendar.
 
     ``change_points=True`` emits only days on which some output can change (a fact enters or
     leaves a window) and the log's first day. An as-of join reads the same values from it as from the dense grid.
+    ``entities`` lists the keys that have rows, with facts or without.
     """
     measures = sorted({c for _, c, _, _ in specs})
-    if change_points:
-        steps = sorted({0} | {n for _, _, _, n in specs if n})
-        first, last = F.element_at(days, 1), F.element_at(days, -1)
-        moved = F.array(first, *[F.date_add(F.col(day), s) for s in steps])
-        grid = (facts.select(*keys, F.explode(moved).alias(day))
-                .where(F.col(day) <= last).distinct())
-    else:
-        who = facts.select(*keys).distinct() if entities is None else entities.select(*keys)
-        grid = who.select(*keys, F.explode(days).alias(day))
+    steps = sorted({n for _, _, _, n in specs if n})
+    first, last = F.element_at(days, 1), F.element_at(days, -1)
     blank = [F.lit(None).cast(facts.schema[m].dataType).alias(m) for m in measures]
-    rows = (grid.select(*keys, day, *blank, F.lit(True).alias("_grid"))
-            .unionByName(facts.select(*keys, day, *measures, F.lit(False).alias("_grid")))
-            .withColumn("_d", F.unix_date(day)))
+    rows = facts.select(*keys, day, *measures)
+    if entities is not None:
+        rows = (rows.withColumn("_known", F.lit(False))
+                .unionByName(entities.select(*keys, F.lit(None).cast("date").alias(day), *blank, F.lit(True).alias("_known"))))
+        first = F.when(F.col("_known"), first)
+    known = [] if entities is None else ["_known"]
+    # Step 0 is the fact itself, -1 the log's first day; columns of their own, so that unread measures are not shuffled.
+    rows = (rows.repartition(*keys).select("*", F.explode(F.array(*[F.lit(n) for n in (0, *steps, -1)])).alias("_s"))
+            .select(*keys, *known, F.when(F.col("_s") < 0, first).otherwise(F.date_add(day, "_s")).alias(day),
+                    *[F.when(F.col("_s") == 0, F.col(m)).alias(m) for m in measures])
+            .where(F.col(day) <= last).withColumn("_d", F.unix_date(day)))
     base = Window.partitionBy(*keys).orderBy("_d")
     since_start = lambda until: base.rangeBetween(Window.unboundedPreceding, until)
     whole = {m for m in measures if facts.schema[m].dataType.typeName() in ("integer", "long", "short", "byte")}
@@ -79,8 +83,19 @@ def rolling_days(facts: DataFrame, keys: list[str], day: str,
         parts[f"_w_{out}"] = getattr(F, op)(c).over(w)
         v = F.col(f"_w_{out}")
         cols.append((F.coalesce(v, F.lit(0)) if op == "sum" else v).alias(out))
-    framed = rows.select(*keys, day, "_grid", *[v.alias(k) for k, v in parts.items()])
-    return framed.where("_grid").select(*keys, day, *cols)
+    parts["_next"] = F.lead("_d").over(base)
+    if known:
+        parts["_known"] = F.max("_known").over(Window.partitionBy(*keys))
+    # Rows of one day are peers and hold the same values; the last of them stands for the day.
+    framed = rows.select(*keys, day, "_d", *[v.alias(k) for k, v in parts.items()]).where("_next IS NULL OR _next > _d")
+    if known:
+        framed = framed.where("_known")
+    if not change_points:
+        until = F.coalesce(F.col("_next") - 1, F.unix_date(last))
+        held = [k for k in parts if k not in ("_next", "_known")]
+        framed = (framed.select(*keys, *held, F.explode(F.sequence(F.col("_d"), until)).alias("_d"))
+                  .withColumn(day, F.date_from_unix_date("_d")).where(F.array_contains(days, F.col(day))))
+    return framed.select(*keys, day, *cols)
 
 
 def angle_parts(hour: Column) -> tuple[Column, Column]:
