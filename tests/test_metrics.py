@@ -78,3 +78,14 @@ def test_blocked_retrieval_equals_brute_force(spark):
                "q", "rank", "i")
     best = np.argsort(-(x @ y.T), axis=1, kind="stable")[:, :7]
     assert got == [(a, r + 1, int(best[a, r])) for a in range(40) for r in range(7)]
+
+
+def test_top_k_dot_orders_ties_over_the_last_place(spark):
+    """Equal scores on both sides of the last place: the smaller ids stay, and only kept scores are ordered whole."""
+    import inspect
+    items = spark.createDataFrame([(n, [float(n % 3)]) for n in range(40)], "i long, vector array<double>")
+    asks = spark.createDataFrame([(1, [1.0]), (2, [-1.0])], "q long, vector array<double>")
+    got = rows(top_k_dot(asks, items, 16, "q", "i", rows_per_block=17), "q", "rank", "i")
+    order = lambda sign: sorted(range(40), key=lambda n: (-sign * (n % 3), n))[:16]
+    assert got == [(q, r + 1, n) for q, sign in ((1, 1), (2, -1)) for r, n in enumerate(order(sign))]
+    assert "argsort" not in inspect.getsource(top_k_dot)
