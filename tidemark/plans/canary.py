@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import CANARY
-from ..operators.metrics import spearman_of_ranks, top_k_overlap
+from ..operators.metrics import rank_agreement
 from ..operators.orderstats import floor_rank, order_statistics
 from ..operators.ranking import ranked
 
@@ -19,6 +19,14 @@ def response_ranks(responses: DataFrame, request: str, item: str) -> DataFrame:
     return r.select(request, item, F.coalesce("given_rank", "_by_score").alias("rank"))
 
 
+def paired_ranks(responses: DataFrame, request: str, item: str, a: Column, b: Column) -> DataFrame:
+    """``response_ranks`` of two arms whose scores stand in one row per request and item, as ``a`` and ``b``; no join."""
+    s = responses.select(request, item, a.alias("_a"), b.alias("_b"))
+    for score, out in (("_a", "a"), ("_b", "b")):
+        s = ranked(s, [request], [F.col(score).desc_nulls_last(), F.col(item)], out)
+    return s.select(request, item, "a", "b")
+
+
 def summarise(samples: DataFrame, arm: str = "arm") -> DataFrame:
     """Per arm: volume, errors and floor-index latency percentiles over successful calls."""
     volume = samples.groupBy(arm).agg(
@@ -33,13 +41,11 @@ def summarise(samples: DataFrame, arm: str = "arm") -> DataFrame:
                     F.round("p50_ms", 1).alias("p50_ms"), F.round("p95_ms", 1).alias("p95_ms")))
 
 
-def agreement(pairs: DataFrame, request: str, a: str, b: str) -> DataFrame:
-    """Mean rank correlation and mean top-3 overlap over requests both arms answered."""
-    rho = spearman_of_ranks(pairs, [request], a, b)
-    top = top_k_overlap(pairs, [request], a, b, 3)
-    return rho.join(top, request).agg(F.count(F.lit(1)).alias("pairs"),
-                                      F.avg("spearman").alias("spearman_mean"),
-                                      F.avg("overlap").alias("top3_overlap_mean"))
+def agreement(pairs: DataFrame, request: str, a: str, b: str, least: int = 1) -> DataFrame:
+    """Mean rank correlation and mean top-3 overlap over requests both arms answered with ``least`` items or more."""
+    each = rank_agreement(pairs, [request], a, b, 3).where(F.col("items") >= least)
+    return each.agg(F.count(F.lit(1)).alias("pairs"), F.avg("spearman").alias("spearman_mean"),
+                    F.avg("overlap").alias("top3_overlap_mean"))
 
 
 def gate(summary: DataFrame, agree: DataFrame, champion: str, challenger: str,

@@ -278,7 +278,8 @@ UNION ALL SELECT 'required event columns', true, '' FROM (SELECT 1)""")
 def quality_checks(spark, d):
     ev, imp, ent = I.events(spark, d), I.impressions(spark, d), I.entitlements(spark, d)
     age = F.datediff(F.lit("2024-01-31").cast("date"), F.to_date(F.max("event_ts")))
-    dup = ent.groupBy("viewer_id", "title_id").agg(F.count(F.lit(1)).alias("n"))
+    pair = ["viewer_id", "title_id"]
+    dup = I.dealt(ent.select(*pair), I.log_parts(spark, d), *pair).groupBy(*pair).agg(F.count(F.lit(1)).alias("n"))
     need = [c for c in ("event_id", "viewer_id", "title_id", "event_ts") if c not in ev.columns]
     return O.quality_checks([
         ("events fresh within 2 days", ev.agg((age <= 2).alias("passed"), age.alias("detail"))),

@@ -188,8 +188,9 @@ def partitioned_append_roundtrip(spark, d):
 def exported_training_set(spark, d):
     key = ["viewer_id", "rail_id", "session_id"]
     # The rows come from the labels, what is attached from the raw impressions.
-    rows = rail_label_frame(spark, d).groupBy(*key).agg(F.max("engaged").alias("engaged"))
-    side = I.impressions(spark, d).groupBy(*key).agg(F.min("rail_position").alias("p"))
+    n = I.log_parts(spark, d)
+    rows = I.dealt(rail_label_frame(spark, d).groupBy(*key).agg(F.max("engaged").alias("engaged")), n, *key)
+    side = I.dealt(I.impressions(spark, d).groupBy(*key).agg(F.min("rail_position").alias("p")), n, *key)
     path = export_training_set(rows, scratch_dir(spark, "export"), side, key)
     return read_table(spark, path).groupBy("engaged").agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.avg("p"), 6).alias("mean_position"))
