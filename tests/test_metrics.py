@@ -1,10 +1,11 @@
 import math
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.operators import metrics as M
+from tidemark.operators import metrics as M, orderstats
 from tidemark.operators.orderstats import floor_rank, interpolated, nearest_rank, order_statistics, value_ranks
 from tidemark.operators.retrieval import top_k_dot
 from tidemark.plans import canary as C
@@ -28,6 +29,32 @@ def test_ranks_with_a_value_holding_a_third_of_rows(spark):
         assert r["n_less"] == int((vals < r["v"]).sum()) and r["n"] == int((vals == r["v"]).sum())
 
 
+def test_a_large_group_is_cut_once_and_not_ordered_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(orderstats, "GROUP_ROWS", 1000)
+    df = spark.range(6000).select(F.when(F.col("id") < 5000, "big").when(F.col("id") < 5900, "small").alias("g"),
+                                  (F.col("id") * 31 % 977).alias("v"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        ranks = value_ranks(df, ["g"], "v", ranges=8, extra={"odd": F.sum(F.col("v") % 2)}, size="all")
+        got = {(r["g"], r["v"]): (r["n"], r["n_less"], r["odd_less"], r["all"]) for r in ranks.collect()}
+        plan = ranks._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for g in ("big", "small"):
+        vals = np.array([r["v"] for r in df.where(F.col("g") == g).collect()])
+        assert {v for h, v in got if h == g} == set(vals.tolist())
+        for v in set(vals.tolist()):
+            assert got[g, v] == ((vals == v).sum(), (vals < v).sum(), (vals[vals < v] % 2).sum(), len(vals))
+    assert len({g for g, _ in got}) == 2
+    # No join deals the values by their group alone, and both branches read one sketch.
+    assert not re.search(r"SortMergeJoin(\(skew=true\))? \[g#\d+\]", plan)
+    assert re.search(r"ReusedExchange \[.*_cuts#\d+.*\], BroadcastExchange|ReusedExchange \[.*_cuts", plan)
+
+
 def test_auc_with_ties(spark):
     df = spark.createDataFrame([(0.1, 0), (0.5, 1), (0.5, 0), (0.9, 1)], "s double, y int")
     assert M.auc(df, "s", "y").first()["auc"] == 0.875

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _STRIDE = 64
+#: Groups of more rows are cut into value ranges; a smaller group is ordered as it is.
+GROUP_ROWS = 200_000
 
 
 def _search(cuts: str, coarse: str, value: Column) -> Column:
@@ -29,9 +31,10 @@ def _ranges(df: DataFrame) -> int:
 
 
 def value_ranks(df: DataFrame, by: list[str], value: str, ranges: int | None = None,
-                extra: dict[str, Column] | None = None) -> DataFrame:
+                extra: dict[str, Column] | None = None, size: str | None = None) -> DataFrame:
     """One row per distinct (by, value): ``n`` equal rows, ``n_less`` rows below it, plus any
-    ``extra`` additive aggregates (as ``name``) with their running total below (``name_less``)."""
+    ``extra`` additive aggregates (as ``name``) with their running total below (``name_less``).
+    ``size`` names a column for the group's non-null rows."""
     extra = extra or {}
     ranges = ranges or _ranges(df)
     vals = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
@@ -40,26 +43,38 @@ def value_ranks(df: DataFrame, by: list[str], value: str, ranges: int | None = N
     sketch = F.percentile_approx(value, points, max(1000, 4 * ranges)).alias("_cuts")
     every = F.filter("_cuts", lambda c, i: i % _STRIDE == 0).alias("_coarse")
     if by:
-        vals = vals.join(df.groupBy(*by).agg(sketch).select(*by, "_cuts", every), by)
+        # A join by shuffle would put each group's values into one task, to be ordered there whole. The
+        # cuts of the large groups go to every task instead: ``ranges`` values per ``GROUP_ROWS`` rows at most.
+        cuts = (df.groupBy(*by).agg(sketch, F.count(value).alias("_rows")).where(F.col("_rows") > GROUP_ROWS)
+                .select(*by, "_cuts", every))
+        vals = vals.join(F.broadcast(cuts), by, "left")
     else:
         one = df.agg(sketch).select(F.struct("_cuts", every))
         vals = vals.withColumn("_s", one.scalar()).select("*", "_s.*").drop("_s")
-    vals = vals.withColumn("_r", _search("_cuts", "_coarse", F.col(value))).drop("_cuts", "_coarse")
+    # Never null, so that no filter on it makes two plans of the one that both branches below share.
+    place = F.coalesce(_search("_cuts", "_coarse", F.col(value)), F.lit(0))
+    vals = vals.withColumn("_r", place).drop("_cuts", "_coarse")
 
     sums = ["n"] + list(extra)
+    for b in by:
+        vals = vals.where(F.col(b).isNotNull())
     part = vals.groupBy(*by, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     # At most ``ranges`` rows per group.
     over = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = over.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    part = part.select(*by, "_r", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_b_{c}")
-                                    for c in sums])
+    part = part.select(*by, "_r", "_t_n", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_b_{c}")
+                                    for c in sums],
+                       *([F.sum("_t_n").over(over).alias(size)] if size else []))
     inside = (Window.partitionBy(*by, "_r").orderBy(value)
               .rowsBetween(Window.unboundedPreceding, -1))
     out = vals.withColumns({f"_i_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
-    out = out.join(part, by + ["_r"])
-    return out.select(*by, value, *sums,
-                      *[(F.col(f"_b_{c}") + F.col(f"_i_{c}")).cast("bigint").alias(f"{c}_less")
-                        for c in sums])
+    out = out.join(part, by + ["_r"], "left")
+    # A sketch depends on the order in which its parts are merged. Spark makes it once for both branches; were it
+    # made twice, some range would hold more rows here than were counted there, and the ranks would be wrong.
+    same = F.coalesce(F.col("_i_n") + F.col("n") <= F.col("_t_n"), F.lit(False))
+    below = lambda c: F.when(same, (F.col(f"_b_{c}") + F.col(f"_i_{c}")).cast("bigint")
+                             ).otherwise(F.raise_error(F.lit("value ranges were cut twice")).cast("bigint"))
+    return out.select(*by, value, *sums, *[below(c).alias(f"{c}_less") for c in sums], *([size] if size else []))
 
 
 def order_statistics(df: DataFrame, by: list[str], value: str,
@@ -68,12 +83,7 @@ def order_statistics(df: DataFrame, by: list[str], value: str,
 
     ``index`` maps an output name to a function of the group size. Returns by, n, names.
     """
-    ranks = value_ranks(df, by, value, ranges)
-    size = df.where(F.col(value).isNotNull())
-    if by:
-        ranks = ranks.join(size.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")), by)
-    else:
-        ranks = ranks.withColumn("_size", size.agg(F.count(F.lit(1))).scalar())
+    ranks = value_ranks(df, by, value, ranges, size="_size")
     hits = []
     for name, at in index.items():
         i = at(F.col("_size"))
