@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tidemark.plans import canary as C, models as M, ranking as K
+from tidemark.queries import models as Q
 from tidemark.queries.training import rail_label_frame
 from tidemark.sources import inputs as I
 
@@ -85,3 +86,14 @@ def test_importance_carries_no_row_for_each_feature(spark, monkeypatch):
     assert set(got) == {"x", "same", "device"} and got["same"] == 0 == got["device"] and got["x"] > 0.3
     # The rows once, and then only those whose value became another one.
     assert [f.count() for f in scored][0] == 300 and sum(f.count() for f in scored) <= 600
+
+
+def test_title_rows_are_split_before_the_lookups(spark, sf, monkeypatch):
+    given = []
+    real = Q.T.quantile_split
+    monkeypatch.setattr(Q.T, "quantile_split", lambda df, *a: given.append(df) or real(df, *a))
+    monkeypatch.setattr(Q, "stored", lambda spark, d, name, build: build())
+    f = Q.title_frame(spark, sf)
+    assert len(given) == 1 and "Join" not in plan(given[0])
+    late = real(f.drop("split"), "label_ts")
+    assert rows(f, "event_id", "split") == rows(late, "event_id", "split")
